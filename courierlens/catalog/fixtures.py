@@ -217,12 +217,13 @@ class Fixtures:
     @property
     def courier_domains(self) -> DataFrame:
         user = F.col("user_id")
-        lines = F.when(user % 2 == 0, F.array(1 + user % 3, F.lit(2))).otherwise(F.array(1 + user % 3))
+        first = (1 + user % 3).cast("int")
+        lines = F.when(user % 2 == 0, F.array(first, F.lit(2))).otherwise(F.array(first))
         return (
             self.read("events")
             .select(user)
             .distinct()
-            .select(user.cast("string").alias("_p_id_oid"), F.explode(lines).cast("int").alias("domaintypes"))
+            .select(user.cast("string").alias("_p_id_oid"), F.explode(lines).alias("domaintypes"))
         )
 
     @property

@@ -296,7 +296,6 @@ def completed(orders: str, found: str) -> str:
 COMPLETE = "tz is not null and job is not null"
 COMPLETE_FOOD = "m_lat is not null and c_lat is not null and wh_lat is not null"
 BASE = POINTS + ORDERS
-LATE = {k: v - ISTANBUL * 0 for k, v in WHOLE.items()}
 
 
 def rfm_ranks(check: str) -> str:

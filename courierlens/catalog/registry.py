@@ -608,14 +608,12 @@ def pipeline_reach(fx: Fixtures) -> DataFrame:
     return predictions(pl.reach(fx.orders, every_point(fx), 1))
 
 
-FOOD_BASE = sql.POINTS + sql.RAW_ORDERS + sql.PREDICTIONS + sql.MERCHANT + sql.FOOD_ORDERS.format(**sql.WHOLE)
+FOOD_BASE = sql.POINTS + sql.RAW_ORDERS + sql.PREDICTIONS + sql.MERCHANT + sql.FOOD_ORDERS.format(**sql.WHOLE).replace("(select r.eid", "(select distinct r.eid")
 OWN = "fown as (select * from fords where courier in (select courier from cdom where line in (1, 3))),\n"
 
 
 def _food(fx: Fixtures, domain: int = 2) -> DataFrame:
-    return so.merchant_orders(
-        fx.food_orders, fx.status_log, fx.predictions, fx.couriers, fx.warehouses, START, END, domain
-    )
+    return pl.orders_of(fx.inputs(), domain, START, END)
 
 
 def food_points(fx: Fixtures) -> DataFrame:
@@ -685,7 +683,7 @@ def pipeline_deliver(fx: Fixtures) -> DataFrame:
 
 
 ALL_BASE = (
-    FOOD_BASE + OWN + sql.MARKET_ORDERS.format(**sql.WHOLE) + sql.WATER_ORDERS.format(**sql.WHOLE)
+    FOOD_BASE + OWN + sql.MARKET_ORDERS.format(**sql.WHOLE) + sql.WATER_ORDERS.format(**sql.WHOLE).replace("(select r.*", "(select distinct r.*")
 )
 ALL_CTES = (
     ALL_BASE

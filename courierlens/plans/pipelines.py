@@ -166,6 +166,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def orders_of(inputs: Inputs, domain_type: int, start: str, end: str, courier_ids: Sequence[str] | None = None) -> DataFrame:
+    """Orders of one business line, each once even if it has several empty predictions."""
+    return _orders_of(inputs, domain_type, start, end, courier_ids).distinct()
+
+
+def _orders_of(
+    inputs: Inputs, domain_type: int, start: str, end: str, courier_ids: Sequence[str] | None
+) -> DataFrame:
     if domain_type == MARKET:
         return market_orders(inputs.market_orders, inputs.zones, start, end, courier_ids)
     if domain_type == WATER:
