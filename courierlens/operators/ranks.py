@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTERS = 256
+SPLITTERS = 128
 SMALL_BUCKET = 1_000_000
 
 
@@ -29,11 +29,18 @@ def splitters(df: DataFrame, columns: Sequence[str], count: int = SPLITTERS) ->
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
+def _constant_array(values: Sequence) -> Column:
+    """One array literal, however many values it has; numbers only."""
+    kind = "double" if any(isinstance(v, float) for v in values) else "bigint"
+    text = ",".join(repr(v).replace("inf", "Infinity") for v in values)
+    return F.split(F.lit(text), ",").cast(f"array<{kind}>")
+
+
 def bucket_of(column: Column, cuts: Sequence) -> Column:
     """Bucket of a value: even between two splitters, odd on a splitter itself."""
     if not cuts:
         return F.lit(0)
-    values = F.array(*[F.lit(c) for c in cuts])
+    values = _constant_array(cuts)
     below = F.size(F.filter(values, lambda cut: cut < column))
     return below * 2 + F.array_contains(values, column).cast("int")
 

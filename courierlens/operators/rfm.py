@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.operators.ranks import ntile_columns
-from courierlens.operators.slices import SLICE, number_rows, with_slice
+from courierlens.operators.slices import SLICE, heavy_keys, number_rows, slice_heavy_keys
 from courierlens.params import RfmParams
-from courierlens.session import shared_dir
+from courierlens.session import stage
 
 DEVICE = ["deviceinfo_device_type", "deviceinfo_manufacturer", "deviceinfo_model"]
 # Class column, the value it ranks, and whether small values come first.
@@ -34,7 +34,7 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     """Orders with their money, numbered per client: ``y`` newest first, ``t`` oldest first.
 
     ``h`` is the seconds from the courier's confirmation to reaching. Order ids
-    settle equal times.
+    settle equal times. Clients with very many orders are numbered in slices.
     """
     counted = orders.filter(
         F.col("status").isin(list(rp.statuses))
@@ -49,7 +49,9 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     joined = counted.join(money, "id").withColumn(
         "h", F.unix_timestamp("reach_date") - F.unix_timestamp("courier_verify_date")
     )
-    spread = with_slice(joined, "checkout_date", rp.slice_days * 86400).repartition("client", SLICE)
+    heavy = heavy_keys(counted, "client", rp.heavy_client_orders)
+    sliced = slice_heavy_keys(joined, "client", "checkout_date", rp.slice_days * 86400, heavy)
+    spread = sliced.repartition("client", SLICE)
     numbered = number_rows(spread, ["client"], ["checkout_date", "id"], "t", total="_orders")
     return numbered.withColumn("y", F.col("_orders") - F.col("t") + 1).select(
         "id",
@@ -131,10 +133,11 @@ def rfm_values(ranked: DataFrame, rp: RfmParams) -> DataFrame:
 def rfm_segments(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> DataFrame:
     """Clients with quartile classes within recent and lost clients, and their segment codes.
 
-    The client values are checkpointed, as ranking reads them several times.
+    The orders' ranks and the client values are staged, as both are read
+    several times.
     """
-    shared_dir(orders.sparkSession)
-    values = rfm_values(order_ranks(orders, financials, rp), rp).checkpoint()
+    ranked = stage(order_ranks(orders, financials, rp), "rfm-ranks")
+    values = stage(rfm_values(ranked, rp), "rfm-values")
     classed = ntile_columns(values, "isRecent", "client", CLASSES)
     recent = F.col("isRecent") == 1
     # like ||, a missing part makes the whole code missing

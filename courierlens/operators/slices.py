@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 SLICE = "slice"
 LAST_SLICE = 2**63 - 1
+MOST_HEAVY_KEYS = 1000
 
 
 def with_slice(df: DataFrame, time: str, seconds: int) -> DataFrame:
@@ -30,6 +31,26 @@ def with_slice(df: DataFrame, time: str, seconds: int) -> DataFrame:
     return df.withColumn(SLICE, F.coalesce(number, F.lit(LAST_SLICE)))
 
 
+def heavy_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows, at most a thousand of them, the heaviest.
+
+    The bound makes the result safe to broadcast whatever the table's size. A
+    key beyond it holds less than a thousandth of all rows.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > rows).orderBy(F.col("_rows").desc()).limit(MOST_HEAVY_KEYS).select(key)
+
+
+def slice_heavy_keys(df: DataFrame, key: str, time: str, seconds: int, heavy: DataFrame) -> DataFrame:
+    """Add slices to the rows of heavy keys only; any other key is one slice.
+
+    Worth its counting pass where most keys have few rows over a long time.
+    """
+    marked = df.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+    sliced = with_slice(marked, time, seconds)
+    return sliced.withColumn(SLICE, F.when(F.col("_heavy"), F.col(SLICE)).otherwise(F.lit(0))).drop("_heavy")
+
+
 def by_slice(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Shuffle by (key, slice) and drop repeated rows on the way.
 

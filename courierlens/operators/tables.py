@@ -71,7 +71,7 @@ def keep_latest(df: DataFrame, id_column: str, keys: Sequence[str]) -> DataFrame
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target without the keys of the source, plus all source rows."""
-    return target.join(source.select(key), key, "left_anti").select(*target.columns).unionByName(source)
+    return target.join(source.select(key).distinct(), key, "left_anti").select(*target.columns).unionByName(source)
 
 
 def apply_updates(target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ def filter_by_ids(df: DataFrame, column: str, ids: Sequence | DataFrame | None)
     Ids may also come as the first column of a frame, of any size.
     """
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_semi")
+        return df.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column, "left_semi")
     return df.filter(F.col(column).isin(list(ids))) if ids else df
 
 
@@ -58,12 +58,20 @@ def pivot_status_log(log: DataFrame) -> DataFrame:
     return log.filter(order_id.isNotNull() & (order_id != "null")).groupBy(order_id.alias("status_order_id")).agg(*columns)
 
 
-def only_unpredicted(orders: DataFrame, predictions: DataFrame, column: str) -> DataFrame:
+def only_unpredicted(orders: DataFrame, predictions: DataFrame, column: str, repeat: bool = True) -> DataFrame:
     """Orders without a prediction row, or with one whose ``column`` is missing.
 
-    As a left join this repeats an order once per empty prediction row and
-    keeps it even if another row is filled.
+    A row with a missing value counts even if another row of the order is
+    filled. With ``repeat`` an order comes back once per such row, as a left
+    join gives it; without, once, and the predictions of an order shrink to
+    one row before the shuffle.
     """
+    if not repeat:
+        filled = predictions.groupBy(F.col("order_id").alias("_predicted_id")).agg(
+            (F.count(column) == F.count(F.lit(1))).alias("_all_filled")
+        )
+        done = filled.filter("_all_filled").select("_predicted_id")
+        return orders.join(done, orders["_id_oid"] == done["_predicted_id"], "left_anti")
     made = predictions.select(F.col("order_id").alias("_predicted_id"), F.col(column).alias("_predicted"))
     return (
         orders.join(made, orders["_id_oid"] == F.col("_predicted_id"), "left")
@@ -76,7 +84,7 @@ def with_courier_domain(orders: DataFrame, domains: DataFrame, allowed: Sequence
     """Orders whose courier works in one of the allowed business lines; never repeats an order."""
     couriers = domains.filter(F.col("domaintypes").isin(list(allowed))).select(
         F.col("_p_id_oid").alias("courier_courier_oid")
-    )
+    ).distinct()
     return orders.join(couriers, "courier_courier_oid", "left_semi")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,7 +27,7 @@ from courierlens.operators.features import (
 )
 from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
-from courierlens.session import shared_dir
+from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
 from courierlens.sources.points import route_points
 
@@ -154,30 +153,20 @@ class Inputs:
     water_predicted: str = "predicted_depart_date"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame that several branches read to the shared folder and read it back.
-
-    A written table survives lost executors and is cheaper than computing its
-    windows again in every branch.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def orders_of(inputs: Inputs, domain_type: int, start: str, end: str, courier_ids: Sequence[str] | None = None) -> DataFrame:
     """Orders of one business line, each once even if it has several empty predictions."""
-    return _orders_of(inputs, domain_type, start, end, courier_ids).distinct()
-
-
-def _orders_of(
-    inputs: Inputs, domain_type: int, start: str, end: str, courier_ids: Sequence[str] | None
-) -> DataFrame:
     if domain_type == MARKET:
         return market_orders(inputs.market_orders, inputs.zones, start, end, courier_ids)
     if domain_type == WATER:
         return water_orders(
-            inputs.market_orders, inputs.zones, inputs.water_predictions, inputs.water_predicted, start, end, courier_ids
+            inputs.market_orders,
+            inputs.zones,
+            inputs.water_predictions,
+            inputs.water_predicted,
+            start,
+            end,
+            courier_ids,
+            repeat=False,
         )
     orders, made = {
         FOOD: (inputs.food_orders, inputs.restaurant_predictions),
@@ -193,6 +182,7 @@ def _orders_of(
         end,
         domain_type,
         courier_ids=courier_ids,
+        repeat=False,
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -26,3 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(path)
     return path.rstrip("/")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back.
+
+    A written table cuts the lineage, survives lost executors and is cheaper
+    than computing its windows again for every reader.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -94,15 +94,19 @@ def water_orders(
     start: str,
     end: str,
     courier_ids: Sequence[str] | DataFrame | None = None,
+    repeat: bool = True,
 ) -> DataFrame:
-    """Finished water orders of the window that have no prediction in ``predicted`` yet."""
+    """Finished water orders of the window that have no prediction in ``predicted`` yet.
+
+    ``repeat`` is that of ``only_unpredicted``.
+    """
     finished = orders.filter(
         F.col("status").isin(*FINISHED_STATUSES)
         & _between("deliver_date", start, end)
         & (F.col("domaintype") == WATER)
     )
     finished = filter_by_ids(finished, "courier_courier_oid", courier_ids)
-    waiting = only_unpredicted(finished, predictions, predicted)
+    waiting = only_unpredicted(finished, predictions, predicted, repeat)
     return _with_zone(waiting, zones).select(*MARKET_COLUMNS, "time_zone")
 
 
@@ -117,11 +121,13 @@ def merchant_orders(
     domain_type: int,
     courier_domains: DataFrame | None = None,
     courier_ids: Sequence[str] | DataFrame | None = None,
+    repeat: bool = True,
 ) -> DataFrame:
     """Finished food (2) or artisan (6) orders of the window not yet predicted to reach the merchant.
 
     With ``courier_domains`` an order is repeated for each business line of
     its courier; pipelines leave it out and use ``with_courier_domain``.
+    ``repeat`` is that of ``only_unpredicted``.
     """
     finished = orders.filter(
         F.col("status").isin(*FINISHED_STATUSES)
@@ -129,7 +135,7 @@ def merchant_orders(
         & _between("deliverdate", start, end)
     )
     finished = filter_by_ids(finished, "courier_oid", courier_ids)
-    waiting = only_unpredicted(finished, predictions, "predicted_reach_date")
+    waiting = only_unpredicted(finished, predictions, "predicted_reach_date", repeat)
     places = couriers.select(F.col("_id_oid").alias("courier_oid"), F.col("warehouse_oid").alias("warehouse")).join(
         warehouses.select(
             "warehouse",

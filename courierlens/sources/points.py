@@ -63,7 +63,7 @@ def route_points(
     id_column = ORDER_ID_COLUMN.get(domain_type, MARKET_ID_COLUMN)
     traced = attributed_points(window, id_column, p).filter(F.col("route_id").isNotNull())
     if orders is not None:
-        wanted = orders.select(F.col("_id_oid").alias("route_id"))
+        wanted = orders.select(F.col("_id_oid").alias("route_id")).distinct()
         traced = traced.join(wanted, "route_id", "left_semi")
     if not indexed:
         return traced.drop("slice")

@@ -54,5 +54,5 @@ def sample_orders(
 
 def routes_for_orders(route_points: DataFrame, orders: DataFrame) -> DataFrame:
     """Recorded points of the orders' delivery routes, ordered by route and time."""
-    wanted = orders.select(F.col("delivery_route_oid").alias("route_id"))
+    wanted = orders.select(F.col("delivery_route_oid").alias("route_id")).distinct()
     return route_points.join(wanted, "route_id", "left_semi").orderBy("route_id", "time")
