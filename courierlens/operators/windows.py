@@ -10,7 +10,7 @@ def hour_windows(spark: SparkSession, start: str, end: str, step: str = "1 hour"
     """Consecutive windows from ``start`` while they begin before ``end``; the last may pass it."""
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     width = F.expr(f"interval {step}")
-    begins = F.sequence(first, last - F.expr("interval 1 microsecond"), width)
+    begins = F.sequence(first, F.greatest(first, last - F.expr("interval 1 microsecond")), width)
     return (
         spark.range(1)
         .filter(first < last)
