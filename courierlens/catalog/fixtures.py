@@ -80,7 +80,7 @@ class Fixtures:
     def trace_events(self) -> DataFrame:
         """Events with the order they follow (``seg``) and their place behind it."""
         sliced = with_slice(self.events.withColumn("time", _at(F.col("time_us"))), "time", EventParams().slice_seconds)
-        followed = forward_fill(sliced, ["user_id"], ["us", "event_id"], "anchor", "seg").filter("seg is not null")
+        followed = forward_fill(sliced, ["user_id"], ["us", "event_id"], {"anchor": "seg"}).filter("seg is not null")
         placed = number_rows(followed.repartition("seg", "slice"), ["seg"], ["us", "event_id"], "pos")
         value = F.col("value")
         rows = placed.select(

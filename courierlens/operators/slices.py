@@ -94,17 +94,26 @@ def link(
     return df.join(linked(slices, window).drop(*kept), [*key, SLICE])
 
 
-def forward_fill(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
-    """Last known ``value`` of the key up to and including the row."""
-    known_at = F.when(F.col(value).isNotNull(), position(order))
-    filled = link(
-        df,
-        key,
-        [F.max_by(F.col(value), known_at).alias("_tail")],
-        lambda s, w: s.withColumn("_head", F.last("_tail", ignorenulls=True).over(before(w))),
-    )
-    local = F.last(value, ignorenulls=True).over(running(in_slice(key, order)))
-    return filled.withColumn(out, F.coalesce(local, "_head")).drop("_head")
+def forward_fill(df: DataFrame, key: Sequence[str], order: Sequence[str], fills: dict[str, str]) -> DataFrame:
+    """Last known values of the key up to and including the row; ``fills`` maps a column to its filled name.
+
+    All columns are filled behind one shuffle. The window comes before the
+    join, whose sort order it then serves too.
+    """
+    so_far = running(in_slice(key, order))
+    local = df.withColumns({f"_local_{v}": F.last(v, ignorenulls=True).over(so_far) for v in fills})
+
+    def tail(value: str) -> Column:
+        known_at = F.when(F.col(value).isNotNull(), position(order))
+        return F.max_by(F.col(value), known_at).alias(f"_tail_{value}")
+
+    def heads(s: DataFrame, w: WindowSpec) -> DataFrame:
+        earlier = before(w)
+        return s.withColumns({f"_head_{v}": F.last(f"_tail_{v}", ignorenulls=True).over(earlier) for v in fills})
+
+    linked = link(local, key, [tail(v) for v in fills], heads)
+    filled = linked.withColumns({out: F.coalesce(f"_local_{v}", f"_head_{v}") for v, out in fills.items()})
+    return filled.drop(*[f"{part}_{v}" for v in fills for part in ("_local", "_head")])
 
 
 def number_rows(
@@ -116,19 +125,18 @@ def number_rows(
         s = s.withColumn("_before", F.coalesce(F.sum("_rows").over(before(w)), F.lit(0)))
         return s.withColumn(total, F.sum("_rows").over(Window.partitionBy(*key))) if total else s
 
-    numbered = link(df, key, [F.count(F.lit(1)).alias("_rows")], offsets)
-    local = F.row_number().over(in_slice(key, order))
-    return numbered.withColumn(out, (local + F.col("_before")).cast("long")).drop("_before")
+    local = df.withColumn("_place", F.row_number().over(in_slice(key, order)))
+    numbered = link(local, key, [F.count(F.lit(1)).alias("_rows")], offsets)
+    return numbered.withColumn(out, (F.col("_place") + F.col("_before")).cast("long")).drop("_before", "_place")
 
 
 def next_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
-    """``value`` of the following row of the key."""
+    """``value``, which is never missing, of the following row of the key."""
+    local = df.withColumn("_next", F.lead(value).over(in_slice(key, order)))
     linked = link(
-        df,
+        local,
         key,
         [F.min_by(F.col(value), position(order)).alias("_first")],
         lambda s, w: s.withColumn("_following", F.lead("_first").over(w)),
     )
-    return linked.withColumn(out, F.coalesce(F.lead(value).over(in_slice(key, order)), "_following")).drop(
-        "_following"
-    )
+    return linked.withColumn(out, F.coalesce("_next", "_following")).drop("_next", "_following")

@@ -29,7 +29,7 @@ from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
 from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
-from courierlens.sources.points import route_points
+from courierlens.sources.points import points_of, window_points
 
 REACH, REACH_TO_MERCHANT = "reach", "reach_to_merchant"
 DEPART, DEPART_FROM_MERCHANT, DEPART_FROM_COURIER_WAREHOUSE = (
@@ -238,21 +238,19 @@ def all_events(
 ) -> DataFrame:
     """Predictions of all asked events and business lines of a window in one frame.
 
-    The traced points of a business line feed several events, so they are
-    staged once, in the shared folder.
+    The points are attributed to the orders of all business lines in one pass,
+    and that table and the orders are staged, as every event reads them.
     """
+    wanted = {d: events_for(events, d) for d in domain_types}
+    wanted = {d: names for d, names in wanted.items() if names}
+    if not wanted:
+        raise ValueError("none of the asked events exists for the asked business lines")
+    attributed = stage(window_points(inputs.points, list(wanted), start, end, p), "points")
     parts = []
-    for domain_type in domain_types:
-        wanted = events_for(events, domain_type)
-        if not wanted:
-            continue
+    for domain_type, names in wanted.items():
         orders = stage(orders_of(inputs, domain_type, start, end, courier_ids), f"orders-{domain_type}")
-        points = stage(
-            route_points(inputs.points, orders, domain_type, start, end, p, indexed=False), f"points-{domain_type}"
-        )
-        for event in wanted:
+        points = points_of(attributed, domain_type)
+        for event in names:
             made = event_predictions(event, orders, points, domain_type, inputs.courier_domains, p)
             parts.append(made.select(F.lit(domain_type).alias("domain_type"), F.lit(event).alias("event"), "*"))
-    if not parts:
-        raise ValueError("none of the asked events exists for the asked business lines")
     return reduce(DataFrame.unionByName, parts)

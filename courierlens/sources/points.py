@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.functions.rules import real_id
-from courierlens.operators.slices import by_slice, forward_fill, number_rows, with_slice
+from courierlens.operators.slices import SLICE, by_slice, forward_fill, number_rows, with_slice
 from courierlens.operators.trace import filter_by_ids
-from courierlens.params import ARTISAN, FOOD, EventParams
+from courierlens.params import ARTISAN, FOOD, MARKET, EventParams
 
 # Hour partition format and the id column of each business line.
 DT_FORMAT = "%Y-%m-%dT%H-00-00Z"
@@ -31,8 +31,12 @@ def in_partitions(points: DataFrame, start: str, end: str, hours_before: int = 0
     return points.filter(F.col("dt").between(first.strftime(DT_FORMAT), last.strftime(DT_FORMAT)))
 
 
-def attributed_points(points: DataFrame, id_column: str, p: EventParams = EventParams()) -> DataFrame:
-    """Every point with the order it belongs to: its own, or else the courier's last known one."""
+def attributed_points(points: DataFrame, id_columns: Sequence[str], p: EventParams = EventParams()) -> DataFrame:
+    """Every point with the orders it belongs to, one per id column.
+
+    ``raw_<column>`` is the id the point carries, ``<column>_filled`` that or
+    else the courier's last known one. Any number of columns takes one shuffle.
+    """
     raw = points.select(
         F.col("courierid").alias("courier_oid"),
         "acc",
@@ -40,10 +44,38 @@ def attributed_points(points: DataFrame, id_column: str, p: EventParams = EventP
         F.col("createdat").cast("timestamp").alias("time"),
         "lat",
         "lon",
-        real_id(F.col(id_column)).alias("raw_order_id"),
+        *[real_id(F.col(c)).alias(f"raw_{c}") for c in id_columns],
     )
     sliced = with_slice(raw, "time", p.slice_seconds)
-    return forward_fill(sliced, ["courier_oid"], TRACE_ORDER, "raw_order_id", "route_id")
+    fills = {f"raw_{c}": f"{c}_filled" for c in id_columns}
+    return forward_fill(sliced, ["courier_oid"], TRACE_ORDER, fills).drop(SLICE)
+
+
+def id_column_of(domain_type: int) -> str:
+    return ORDER_ID_COLUMN.get(domain_type, MARKET_ID_COLUMN)
+
+
+def points_of(attributed: DataFrame, domain_type: int) -> DataFrame:
+    """The attributed points of one business line under ``route_id`` and ``raw_order_id``."""
+    column = id_column_of(domain_type)
+    return attributed.select(
+        "courier_oid",
+        "acc",
+        "status",
+        "time",
+        "lat",
+        "lon",
+        F.col(f"raw_{column}").alias("raw_order_id"),
+        F.col(f"{column}_filled").alias("route_id"),
+    ).filter(F.col("route_id").isNotNull())
+
+
+def window_points(
+    points: DataFrame, domain_types: Sequence[int], start: str, end: str, p: EventParams = EventParams()
+) -> DataFrame:
+    """Attributed points of a run window for several business lines at once."""
+    columns = sorted({id_column_of(d) for d in domain_types})
+    return attributed_points(in_partitions(points, start, end, HOURS_BEFORE, HOURS_AFTER), columns, p)
 
 
 def route_points(
@@ -59,16 +91,14 @@ def route_points(
 
     ``orders`` is any frame with ``_id_oid``; None keeps every attributed point.
     """
-    window = in_partitions(points, start, end, HOURS_BEFORE, HOURS_AFTER)
-    id_column = ORDER_ID_COLUMN.get(domain_type, MARKET_ID_COLUMN)
-    traced = attributed_points(window, id_column, p).filter(F.col("route_id").isNotNull())
+    traced = points_of(window_points(points, [domain_type], start, end, p), domain_type)
     if orders is not None:
         wanted = orders.select(F.col("_id_oid").alias("route_id")).distinct()
         traced = traced.join(wanted, "route_id", "left_semi")
     if not indexed:
-        return traced.drop("slice")
-    spread = traced.repartition("route_id", "slice")
-    return number_rows(spread, ["route_id"], TRACE_ORDER, "index").drop("slice")
+        return traced
+    spread = with_slice(traced, "time", p.slice_seconds).repartition("route_id", SLICE)
+    return number_rows(spread, ["route_id"], TRACE_ORDER, "index").drop(SLICE)
 
 
 def courier_trajectory(
@@ -80,8 +110,8 @@ def courier_trajectory(
 ) -> DataFrame:
     """Delivering points of some couriers with their order; the fill sees every status."""
     window = in_partitions(filter_by_ids(points, "courierid", couriers), start, end)
-    traced = attributed_points(window, MARKET_ID_COLUMN, p)
-    return traced.filter((F.col("status") == 900) & F.col("route_id").isNotNull()).select(
+    traced = points_of(attributed_points(window, [MARKET_ID_COLUMN], p), MARKET)
+    return traced.filter(F.col("status") == 900).select(
         "acc", "time", "lat", "lon", F.col("route_id").alias("_id_oid")
     )
 

@@ -33,7 +33,7 @@ def test_windows(rows, seconds):
     whole = Window.partitionBy("key").orderBy(*order)
     so_far = whole.rowsBetween(Window.unboundedPreceding, 0)
     sliced = with_slice(rows, "time", seconds)
-    filled = forward_fill(sliced, ["key"], order, "value", "filled")
+    filled = forward_fill(sliced, ["key"], order, {"value": "filled"})
     numbered = number_rows(filled, ["key"], order, "n", total="size")
     ours = next_in_key(numbered, ["key"], order, "id", "next").select("id", "filled", "n", "size", "next")
     plain = rows.select(
