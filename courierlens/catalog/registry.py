@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlens.catalog import oracles as sql
@@ -1029,14 +1030,8 @@ def hour_windows(fx: Fixtures) -> DataFrame:
 )
 def run_summary(fx: Fixtures) -> DataFrame:
     orders = fx.orders.withColumn("domain_type", F.lit(4))
-    points = every_point(fx)
-    made = [
-        pl.event_predictions(event, fx.orders, points, 4).select(
-            F.lit(4).alias("domain_type"), F.lit(event).alias("event"), "*"
-        )
-        for event in ("reach", "depart_from_client", "deliver")
-    ]
-    return windows.run_summary(made[0].unionByName(made[1]).unionByName(made[2]), orders)
+    made = pl.line_events(["reach", "depart_from_client", "deliver"], fx.orders, every_point(fx), 4)
+    return windows.run_summary(reduce(DataFrame.unionByName, pl.tagged(made, 4)), orders)
 
 
 @query(

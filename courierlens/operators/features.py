@@ -97,9 +97,13 @@ def reach_features(
     placed = with_distance(spread_trace(trace, p), place, rounded=True)
     local = (
         placed.withColumn("distance_bin", distance_bin(F.col("distance"), p.bin_base, p.bin_steps))
-        .withColumn("_place", F.row_number().over(rows))
-        .withColumn("_prev_bin", F.lag("distance_bin").over(rows))
-        .withColumn("_next_time", F.lead("time").over(rows))
+        .withColumns(
+            {
+                "_place": F.row_number().over(rows),
+                "_prev_bin": F.lag("distance_bin").over(rows),
+                "_next_time": F.lead("time").over(rows),
+            }
+        )
         .withColumn(
             "_moved",
             ((F.col("_place") > 1) & ~F.col("distance_bin").eqNullSafe(F.col("_prev_bin"))).cast("int"),
@@ -131,17 +135,18 @@ def reach_features(
     head = F.when(F.col("_run") == 0, F.col("head_seconds")).otherwise(F.lit(0))
     features = (
         linked.filter(F.col("route_points") >= p.min_points)
-        .withColumn("next_location_time", F.when(closes, F.col("tail_time")).otherwise(F.col("_next_time")))
-        .withColumn("tbe", F.col("_step") + tail)
-        .withColumn("previous_distance_bin", F.when(opens, F.col("head_bin")).otherwise(F.col("_prev_bin")))
-        .withColumn(
-            "is_distance_bin_changed", F.when(opens, ~F.col("head_goes_on")).otherwise(F.col("_moved") == 1)
-        )
-        .withColumn(
-            "distance_bin_group",
-            F.col("head_runs") + F.when(F.col("head_goes_on"), 0).otherwise(1) + F.col("_run"),
+        .withColumns(
+            {
+                "next_location_time": F.when(closes, F.col("tail_time")).otherwise(F.col("_next_time")),
+                "tbe": F.col("_step") + tail,
+                "previous_distance_bin": F.when(opens, F.col("head_bin")).otherwise(F.col("_prev_bin")),
+                "is_distance_bin_changed": F.when(opens, ~F.col("head_goes_on")).otherwise(F.col("_moved") == 1),
+                "distance_bin_group": F.col("head_runs")
+                + F.when(F.col("head_goes_on"), 0).otherwise(1)
+                + F.col("_run"),
+                "time_passed_in_bin": F.col("_in_run") + head + tail,
+            }
         )
-        .withColumn("time_passed_in_bin", F.col("_in_run") + head + tail)
     )
     if not include_all:
         return features.select(*REACH_COLUMNS)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.operators.events import (
+    PREDICTION_COLUMNS,
     complete_over_orders,
     delivery_midpoint,
     first_client_departure,
@@ -227,6 +228,41 @@ def event_predictions(
     return plan[event](orders, points, domain_type, p)
 
 
+def line_events(
+    events: Iterable[str],
+    orders: DataFrame,
+    points: DataFrame,
+    domain_type: int,
+    courier_domains: DataFrame | None = None,
+    p: EventParams = EventParams(),
+) -> dict[str, DataFrame]:
+    """Staged predictions of the asked events of one business line.
+
+    Each event is a job of its own whose small result is written, so plans
+    stay small, and a delivery is put together from the two written events it
+    needs, which are made if nobody asked for them.
+    """
+    made: dict[str, DataFrame] = {}
+
+    def result(event: str) -> DataFrame:
+        if event not in made:
+            if event == DELIVER:
+                found = delivery_midpoint(one_per_order(result(REACH)), result(DEPART_FROM_CLIENT))
+            else:
+                found = event_predictions(event, orders, points, domain_type, courier_domains, p)
+            made[event] = stage(found, f"{event}-{domain_type}")
+        return made[event]
+
+    return {event: result(event) for event in events_for(events, domain_type)}
+
+
+def tagged(made: dict[str, DataFrame], domain_type: int) -> list[DataFrame]:
+    return [
+        df.select(F.lit(domain_type).alias("domain_type"), F.lit(event).alias("event"), *PREDICTION_COLUMNS)
+        for event, df in made.items()
+    ]
+
+
 def all_events(
     inputs: Inputs,
     start: str,
@@ -241,16 +277,14 @@ def all_events(
     The points are attributed to the orders of all business lines in one pass,
     and that table and the orders are staged, as every event reads them.
     """
-    wanted = {d: events_for(events, d) for d in domain_types}
-    wanted = {d: names for d, names in wanted.items() if names}
-    if not wanted:
+    asked = list(events)
+    lines = [d for d in domain_types if events_for(asked, d)]
+    if not lines:
         raise ValueError("none of the asked events exists for the asked business lines")
-    attributed = stage(window_points(inputs.points, list(wanted), start, end, p), "points")
+    attributed = stage(window_points(inputs.points, lines, start, end, p), "points")
     parts = []
-    for domain_type, names in wanted.items():
+    for domain_type in lines:
         orders = stage(orders_of(inputs, domain_type, start, end, courier_ids), f"orders-{domain_type}")
         points = points_of(attributed, domain_type)
-        for event in names:
-            made = event_predictions(event, orders, points, domain_type, inputs.courier_domains, p)
-            parts.append(made.select(F.lit(domain_type).alias("domain_type"), F.lit(event).alias("event"), "*"))
+        parts += tagged(line_events(asked, orders, points, domain_type, inputs.courier_domains, p), domain_type)
     return reduce(DataFrame.unionByName, parts)
