@@ -11,9 +11,9 @@ from courierlens.params import BIN_BASE_METRES, BIN_STEPS, EARTH_RADIUS_KM
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Great-circle distance in kilometres."""
     lat1, lat2 = F.radians(lat1), F.radians(lat2)
-    half_lat = F.sin((lat2 - lat1) / 2)
-    half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    chord = half_lat * half_lat + F.cos(lat1) * F.cos(lat2) * half_lon * half_lon
+    half_lat = F.pow(F.sin((lat2 - lat1) / 2), 2)
+    half_lon = F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), 2)
+    chord = half_lat + F.cos(lat1) * F.cos(lat2) * half_lon
     # rounding may push the chord of antipodes over 1, where asin is NaN
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
 

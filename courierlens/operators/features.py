@@ -165,43 +165,42 @@ def reach_features(
     return features.select(*trace.columns, *added)
 
 
-def _neighbours_across_slices(slices: DataFrame, window: WindowSpec) -> DataFrame:
-    """Last two points before a slice and the first one after it."""
-    return slices.select(
-        *slices.columns,
-        F.lag("_last").over(window).alias("head_1"),
-        F.coalesce(F.lag("_second_last").over(window), F.lag("_last", 2).over(window)).alias("head_2"),
-        F.lead("_first").over(window).alias("tail_1"),
-        F.sum("_points").over(Window.partitionBy(*KEY)).alias("route_points"),
+def _step(earlier: Column, later: Column) -> Column:
+    """Change from one point to the next: seconds, change of distance, metres moved."""
+    return F.struct(
+        seconds_between(earlier["time"], later["time"]).alias("seconds"),
+        (later["metres"] - earlier["metres"]).alias("change"),
+        metres_between(later["lon"], later["lat"], earlier["lon"], earlier["lat"]).alias("moved"),
     )
 
 
-def _step(earlier: Column, later: Column) -> Column:
-    """Change from one point to the next: seconds, change of distance, metres moved, speeds.
-
-    A step without duration has no speed.
-    """
-    seconds = seconds_between(earlier["time"], later["time"])
-    change = later["metres"] - earlier["metres"]
-    moved = metres_between(later["lon"], later["lat"], earlier["lon"], earlier["lat"])
-    return F.struct(
-        seconds.alias("seconds"),
-        change.alias("change"),
-        moved.alias("moved"),
-        F.try_divide(change, seconds).alias("speed_to"),
-        F.try_divide(moved, seconds).alias("speed_along"),
+def _steps_across_slices(slices: DataFrame, window: WindowSpec) -> DataFrame:
+    """The two points before a slice and the steps that cross its borders."""
+    head_1 = F.lag("_last").over(window)
+    linked = slices.select(
+        *slices.columns,
+        head_1.alias("head_1"),
+        F.coalesce(F.lag("_second_last").over(window), F.lag("_last", 2).over(window)).alias("head_2"),
+        F.lead("_first").over(window).alias("_after"),
+        F.sum("_points").over(Window.partitionBy(*KEY)).alias("route_points"),
     )
+    return linked.withColumns(
+        {
+            "step_before": _step(F.col("head_2"), F.col("head_1")),
+            "step_into": _step(F.col("head_1"), F.col("_first")),
+            "step_out": _step(F.col("_last"), F.col("_after")),
+        }
+    ).drop("_after")
 
 
 def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventParams()) -> DataFrame:
     """Speeds towards a place and along the trace, with centred means over three points.
 
-    Every feature of a point depends on two points before it and one after, so
-    those three are fetched once where a slice begins or ends. The step to a
-    point is computed once per point; neighbours take it over through the
-    window, and only border points compute the step of a neighbour themselves.
-    Columns are named after ``name``, the place the speed is measured to. The
-    structs ``prev_point`` and ``prev_point_2`` stay for the decision rules.
+    The step to a point is computed once per point and its neighbours take it
+    over through the window; the steps across slice borders come from the
+    slice summaries. Columns are named after ``name``, the place the speed is
+    measured to. The structs ``prev_point`` and ``prev_point_2`` (time, lat,
+    lon, metres) stay for the decision rules.
     """
     rows = in_slice(KEY, TRACE_ORDER)
     at = position(TRACE_ORDER)
@@ -214,9 +213,10 @@ def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventPara
                 "_place": F.row_number().over(rows),
                 "_back_1": F.lag("_point").over(rows),
                 "_back_2": F.lag("_point", 2).over(rows),
-                "_next": F.lead("_point").over(rows),
             }
         )
+        .withColumn("_step", _step(F.col("_back_1"), F.col("_point")))
+        .withColumns({"_step_back": F.lag("_step").over(rows), "_step_ahead": F.lead("_step").over(rows)})
     )
     linked = link(
         local,
@@ -227,26 +227,31 @@ def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventPara
             F.max_by("_point", at).alias("_last"),
             F.max_by("_back_1", at).alias("_second_last"),
         ],
-        _neighbours_across_slices,
+        _steps_across_slices,
     ).filter(F.col("route_points") >= p.min_points)
-    first, second, last = F.col("_place") == 1, F.col("_place") == 2, F.col("_next").isNull()
-    placed = linked.withColumns(
-        {
-            "prev_point": F.when(first, F.col("head_1")).otherwise(F.col("_back_1")),
-            "prev_point_2": F.when(first, F.col("head_2")).when(second, F.col("head_1")).otherwise(F.col("_back_2")),
-        }
-    ).withColumn("_step", _step(F.col("prev_point"), F.col("_point")))
-    around = placed.withColumns(
+    first, second = F.col("_place") == 1, F.col("_place") == 2
+
+    def in_place(at_first: str, at_second: str, otherwise: str) -> Column:
+        return F.when(first, F.col(at_first)).when(second, F.col(at_second)).otherwise(F.col(otherwise))
+
+    around = linked.withColumns(
         {
-            "_step_back": F.when(first, _step(F.col("head_2"), F.col("head_1"))).otherwise(F.lag("_step").over(rows)),
-            "_step_ahead": F.when(last, _step(F.col("_point"), F.col("tail_1"))).otherwise(F.lead("_step").over(rows)),
+            "prev_point": in_place("head_1", "_back_1", "_back_1"),
+            "prev_point_2": in_place("head_2", "head_1", "_back_2"),
+            "_step": in_place("step_into", "_step", "_step"),
+            "_step_back": in_place("step_before", "step_into", "_step_back"),
+            "_step_ahead": F.coalesce("_step_ahead", "step_out"),
         }
     )
     here, back, ahead = F.col("_step"), F.col("_step_back"), F.col("_step_ahead")
 
-    def smooth(speed: str) -> Column:
+    def speed(step: Column, way: str) -> Column:
+        # a step without duration has no speed
+        return F.try_divide(step[way], step["seconds"])
+
+    def smooth(way: str) -> Column:
         # null unless all three speeds are there
-        return (back[speed] + here[speed] + ahead[speed]) / 3
+        return (speed(back, way) + speed(here, way) + speed(ahead, way)) / 3
 
     return around.select(
         *trace.columns,
@@ -254,13 +259,13 @@ def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventPara
         here["seconds"].alias("tbe"),
         distance,
         here["change"].alias(f"dist_to_{name}_diff"),
-        here["speed_to"].alias(f"speed_to_{name}"),
+        speed(here, "change").alias(f"speed_to_{name}"),
         F.col("prev_point.lat").alias("prev_lat"),
         F.col("prev_point.lon").alias("prev_lon"),
         here["moved"].alias("distance_to_prev_event"),
-        here["speed_along"].alias("speed_to_prev_event"),
-        smooth("speed_to").alias(f"smooth_speed_to_{name}"),
-        smooth("speed_along").alias("smooth_speed_to_prev_event"),
+        speed(here, "moved").alias("speed_to_prev_event"),
+        smooth("change").alias(f"smooth_speed_to_{name}"),
+        smooth("moved").alias("smooth_speed_to_prev_event"),
         F.ln(distance).alias(f"dbw_{name}_log"),
         "prev_point",
         "prev_point_2",
