@@ -30,7 +30,7 @@ from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
 from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
-from courierlens.sources.points import points_of, window_points
+from courierlens.sources.points import points_of, spread_trace, window_points
 
 REACH, REACH_TO_MERCHANT = "reach", "reach_to_merchant"
 DEPART, DEPART_FROM_MERCHANT, DEPART_FROM_COURIER_WAREHOUSE = (
@@ -74,7 +74,10 @@ def reach_to_merchant(
     """When each food or artisan order's courier reached the merchant; nothing at all without any trace."""
     trace = _trace(points, orders, ["time_zone", *PLACES["merchant"]])
     features = reach_features(trace, "merchant", p, include_all=True)
-    return only_if_any(complete_over_orders(orders, first_reach(features, p)), features)
+    # counted on the shuffle the features read as well, without their windows
+    counts = spread_trace(trace, p).groupBy("route_id").agg(F.count("time").alias("_points"))
+    long_enough = counts.filter(F.col("_points") >= p.min_points)
+    return only_if_any(complete_over_orders(orders, first_reach(features, p)), long_enough)
 
 
 def only_if_any(df: DataFrame, witness: DataFrame) -> DataFrame:
