@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """All event times are naive UTC, so the session must read them as such."""
@@ -15,18 +17,35 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def named_dir(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names, if it names one; nothing of the session is changed."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    return path or context.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can see, as named by the cluster.
+    """Folder of this application that every executor can see, below the one the cluster names.
 
-    Only when the cluster names none (tests, laptops) a temporary folder is
-    made and set for the session.
+    Without such a setting a machine-local folder is made, but only where
+    driver and executors are one process; anywhere else executors would each
+    write to a disk of their own, so that is an error.
     """
     context = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    path = path or context.getCheckpointDir() or tempfile.mkdtemp(prefix="courierlens-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(path)
-    return path.rstrip("/")
+    base = named_dir(spark)
+    if base is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="courierlens-")
+        base = _local_folders[context.applicationId]
+    return f"{base.rstrip('/')}/courierlens-{context.applicationId}"
+
+
+def remove_shared(spark: SparkSession) -> bool:
+    """Remove everything this application has staged; to be called once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
