@@ -39,8 +39,8 @@ class PuParams:
 
     folds: int = 5
     dimensions: int = 1 << 18
-    most_positive: int = 6000
-    most_unlabelled: int = 18_000
+    most_positive: int = 5000
+    most_unlabelled: int = 15_000
     epochs: int = 30
     batch: int = 1024
     rate: float = 0.03
@@ -75,7 +75,8 @@ def _features_of(params: PuParams):
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = Cache(lambda w: word_features(w, params), 200_000)
         for rows in batches:
-            found = [[i for w in document_words(t) for i in cache[w]] for t in rows["text"]]
+            # as bytes: lists of numbers would take ten times the driver's memory
+            found = [np.array([i for w in document_words(t) for i in cache[w]], "<i4").tobytes() for t in rows["text"]]
             yield pd.DataFrame({"positive": rows["positive"], "features": found})
 
     return features
@@ -195,9 +196,9 @@ def fit(documents: DataFrame, labels: DataFrame, params: PuParams = PuParams())
     )
     used = F.col("positive") | F.col("bare") if total["bare"] else F.lit(True)
     sample = learning.filter(used & (F.col("place") < share)).select("positive", "text")
-    rows = sample.mapInPandas(_features_of(params), "positive boolean, features array<int>").collect()
-    positive = [np.array(r["features"], np.int64) for r in rows if r["positive"]]
-    unlabelled = [np.array(r["features"], np.int64) for r in rows if not r["positive"]]
+    rows = sample.mapInPandas(_features_of(params), "positive boolean, features binary").collect()
+    positive = [np.frombuffer(r["features"], "<i4") for r in rows if r["positive"]]
+    unlabelled = [np.frombuffer(r["features"], "<i4") for r in rows if not r["positive"]]
     if not positive or not unlabelled:
         return PuModel(np.zeros(params.dimensions, np.float32), -30.0 if not positive else 0.0, params)
     prior = min(0.9, max(1e-4, total["positive"] / total["marked"]))
