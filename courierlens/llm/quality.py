@@ -129,7 +129,7 @@ def _grams_of(params: NbSvmParams):
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = Cache(lambda w: word_grams(w, params), 200_000)
         for rows in batches:
-            found = [document_grams(t, cache).astype(np.int32) for t in rows["text"]]
+            found = [document_grams(t, cache).astype("<i4").tobytes() for t in rows["text"]]
             yield pd.DataFrame({"good": rows["good"], "grams": found})
 
     return grams
@@ -163,11 +163,11 @@ def fit(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvmPara
         return constant(0.99 if total["good"] else 0.01, params)
     share = F.when(F.col("good"), params.most_each / total["good"]).otherwise(params.most_each / total["bad"])
     sample = marked.filter(F.col("place") < share).select("good", "text")
-    rows = sample.mapInPandas(_grams_of(params), "good boolean, grams array<int>").collect()
+    rows = sample.mapInPandas(_grams_of(params), "good boolean, grams binary").collect()
     good = np.array([r["good"] for r in rows], bool)
     if good.all() or not good.any():
         return constant(0.99 if len(rows) and good.all() else 0.5, params)
-    return fit_vectors([np.array(r["grams"], np.int64) for r in rows], good, params)
+    return fit_vectors([np.frombuffer(r["grams"], "<i4") for r in rows], good, params)
 
 
 def score_column(documents: DataFrame, model: NbSvmModel, text: str = "text") -> Column:

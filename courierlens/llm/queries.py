@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.common import table
+from courierlens.llm.packing import PackParams, pack
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
 
@@ -19,8 +21,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), PackParams(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_toxicity, op8_quality)
+    f.__name__: f for f in (op6_toxicity, op8_quality, op9_packing)
 }
 
 ORACLES: dict[str, str] = {}
