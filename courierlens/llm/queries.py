@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.common import table
+from courierlens.llm.minhash import NearParams, near_duplicates
 from courierlens.llm.packing import PackParams, pack
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
@@ -17,6 +18,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearParams(words=2))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -26,7 +31,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_toxicity, op8_quality, op9_packing)
+    f.__name__: f for f in (op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
 }
 
 ORACLES: dict[str, str] = {}
