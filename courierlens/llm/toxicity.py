@@ -177,7 +177,8 @@ def fit(documents: DataFrame, labels: DataFrame, params: PuParams = PuParams())
     )
     learning = (
         documents.filter(fold("doc_id", params.folds) != 0)
-        .select("doc_id", "text")
+        .select("doc_id")
+        .distinct()
         .join(marks, "doc_id", "left")
         .withColumn("positive", F.coalesce(F.col("toxic") == 1, F.lit(False)))
         .withColumn("bare", F.col("toxic").isNull())
@@ -195,8 +196,11 @@ def fit(documents: DataFrame, labels: DataFrame, params: PuParams = PuParams())
         params.most_unlabelled / (total["bare"] or total["others"])
     )
     used = F.col("positive") | F.col("bare") if total["bare"] else F.lit(True)
-    sample = learning.filter(used & (F.col("place") < share)).select("positive", "text")
-    rows = sample.mapInPandas(_features_of(params), "positive boolean, features binary").collect()
+    # about most_positive + most_unlabelled ids at any size of the corpus, so they may be broadcast
+    chosen = learning.filter(used & (F.col("place") < share)).select("doc_id", "positive")
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+    rows = sample.select("positive", "text").mapInPandas(_features_of(params), "positive boolean, features binary").collect()
     positive = [np.frombuffer(r["features"], "<i4") for r in rows if r["positive"]]
     unlabelled = [np.frombuffer(r["features"], "<i4") for r in rows if not r["positive"]]
     if not positive or not unlabelled:
