@@ -149,7 +149,8 @@ def fit(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvmPara
         .agg(F.min("quality").alias("quality"))
     )
     marked = (
-        documents.select("doc_id", "text")
+        documents.select("doc_id")
+        .distinct()
         .join(marks, "doc_id")
         .withColumn("good", F.col("quality") == 1)
         .withColumn("place", (F.xxhash64("doc_id").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64))
@@ -162,8 +163,11 @@ def fit(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvmPara
     if not total["good"] or not total["bad"]:
         return constant(0.99 if total["good"] else 0.01, params)
     share = F.when(F.col("good"), params.most_each / total["good"]).otherwise(params.most_each / total["bad"])
-    sample = marked.filter(F.col("place") < share).select("good", "text")
-    rows = sample.mapInPandas(_grams_of(params), "good boolean, grams binary").collect()
+    # about 2 * most_each ids at any size of the corpus, so they may be broadcast
+    chosen = marked.filter(F.col("place") < share).select("doc_id", "good")
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "good").agg(F.min("text").alias("text"))
+    rows = sample.select("good", "text").mapInPandas(_grams_of(params), "good boolean, grams binary").collect()
     good = np.array([r["good"] for r in rows], bool)
     if good.all() or not good.any():
         return constant(0.99 if len(rows) and good.all() else 0.5, params)
