@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.bpe import encoded_and_decoded
 from courierlens.llm.common import table
+from courierlens.llm.html import extract
 from courierlens.llm.minhash import NearParams, near_duplicates
 from courierlens.llm.packing import PackParams, pack
 from courierlens.llm.quality import quality
@@ -16,6 +17,10 @@ from courierlens.llm.toxicity import toxicity
 from courierlens.llm.warc import archived
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encoded_and_decoded(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -42,7 +47,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_byte_bpe, op3_warc, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
+    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
 }
 
 ORACLES: dict[str, str] = {}
