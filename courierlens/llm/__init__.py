@@ -3,3 +3,10 @@
 Nothing else in the library imports this package. ``queries`` holds the
 registered queries and their SQL.
 """
+
+from pyspark import cloudpickle
+
+import courierlens
+
+# functions go to the executors with their code, so the package need not be installed there
+cloudpickle.register_pickle_by_value(courierlens)

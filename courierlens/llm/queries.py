@@ -12,6 +12,7 @@ from courierlens.llm.common import table
 from courierlens.llm.html import extract
 from courierlens.llm.minhash import NearParams, near_duplicates
 from courierlens.llm.packing import PackParams, pack
+from courierlens.llm.ppm import scores
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
 from courierlens.llm.warc import archived
@@ -30,6 +31,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,7 +52,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
+    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
 }
 
 ORACLES: dict[str, str] = {}
