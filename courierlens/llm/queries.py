@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.bpe import encoded_and_decoded
 from courierlens.llm.common import table
+from courierlens.llm.cover import near_vectors
 from courierlens.llm.html import extract
 from courierlens.llm.minhash import NearParams, near_duplicates
 from courierlens.llm.packing import PackParams, pack
@@ -51,8 +52,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), PackParams(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing)
+    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing, op10_cover_tree)
 }
 
 ORACLES: dict[str, str] = {}
