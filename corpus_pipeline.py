@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from courierlens.llm import quality, toxicity
+from courierlens.llm import minhash, packing, quality, toxicity
 from courierlens.llm.common import new_path, table
 
 
@@ -20,7 +19,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("toxicity", drop_toxic), ("quality", keep_quality)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the smallest id stays."""
+    return minhash.keep_one(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every token piece of what is left lies in the packed sequences."""
+    return packing.pack(docs, packing.PackParams(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_copies),
+    ("packing", pack_sequences),
+]
 
 #: Models and tokenizers are not SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -29,9 +43,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
-    run_id = uuid.uuid4().hex
-    for number, (name, stage) in enumerate(STAGES):
-        path = new_path(spark, f"pipeline-{run_id}-{number}-{name}")
+    for name, stage in STAGES:
+        path = new_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
