@@ -16,6 +16,8 @@ from courierlens.llm.packing import PackParams, pack
 from courierlens.llm.ppm import scores
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
+from courierlens.llm.wand import SQL as SEARCH_SQL
+from courierlens.llm.wand import search_own
 from courierlens.llm.warc import archived
 
 
@@ -36,6 +38,10 @@ def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(table(spark, sf_dir, "documents"))
 
 
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_own(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,7 +63,7 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing, op10_cover_tree)
+    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op5_top_k_search, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing, op10_cover_tree)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_top_k_search": SEARCH_SQL}
