@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm import minhash, packing, quality, toxicity
 from courierlens.llm.common import new_path, table
+from courierlens.llm.queries import pack_params
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every token piece of what is left lies in the packed sequences."""
-    return packing.pack(docs, packing.PackParams(public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(docs, pack_params())
 
 
 STAGES = [

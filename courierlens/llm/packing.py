@@ -17,7 +17,6 @@ task, so no task sees all pieces of a length.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from courierlens.llm.bpe import read_ranks
 from courierlens.llm.common import written
 from courierlens.llm.wordcoder import WordCoder, to_bytes
 
@@ -37,23 +37,20 @@ PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 @dataclass(frozen=True)
 class PackParams:
-    tokenizer: str
+    """``ranks`` is the path of a rank file, ``pattern`` what its tokenizer cuts texts by."""
+
+    ranks: str
+    pattern: str
     capacity: int = 1024
     end_id: int = 2
 
 
-def file_coder(path: str) -> WordCoder:
-    """Coder of a tokenizer file; strings of special tokens in a text are ordinary text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
-    def encode(words: list[str]) -> list[bytes]:
-        return [to_bytes(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+def file_coder(path: str, pattern: str) -> WordCoder:
+    """Coder of a rank file; strings of special tokens in a text are ordinary text."""
+    import tiktoken
 
-    return WordCoder(encode)
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+    return WordCoder(lambda words: [to_bytes(encoding.encode_ordinary(w)) for w in words])
 
 
 def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -65,7 +62,7 @@ def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces_of(params: PackParams):
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, coder = TaskContext.get().partitionId(), file_coder(params.tokenizer)
+        part, coder = TaskContext.get().partitionId(), file_coder(params.ranks, params.pattern)
         seen = [0] * (params.capacity + 1)
         end = to_bytes([params.end_id])
         for rows in batches:

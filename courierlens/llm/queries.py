@@ -54,8 +54,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pack_params() -> PackParams:
+    """The rank file holds the vocabulary of byte_bpe_50k.json; the tests hold its ids against that file's."""
+    return PackParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), PackParams(public_tokenizers.path("byte_bpe_50k.json")))
+    return pack(table(spark, sf_dir, "documents"), pack_params())
 
 
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

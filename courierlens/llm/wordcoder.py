@@ -9,14 +9,19 @@ are made once, for all new parts of a batch of texts together, and kept.
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 
-import numpy as np
 
-
-def to_bytes(ids: Iterable[int]) -> bytes:
+def to_bytes(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit numbers."""
-    return np.fromiter(ids, "<u4").tobytes()
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+MARKS = frozenset(".,;:!?")
 
 
 class WordCoder:
@@ -50,7 +55,11 @@ class WordCoder:
         if len(self.known) + len(new) > self.most:
             self.known = {}
             new = list(set().union(*cut))
-        for start in range(0, len(new), 50_000):
-            some = new[start : start + 50_000]
+        # one mark after a letter is a match of its own, so "word," needs no ids beyond those of "word" and ","
+        stems = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}
+        plain = list({*(stems.get(p, p) for p in new), *{p[-1] for p in stems}} - self.known.keys())
+        for start in range(0, len(plain), 50_000):
+            some = plain[start : start + 50_000]
             self.known.update(zip(some, self.encode_words(some), strict=True))
+        self.known.update({p: self.known[stem] + self.known[p[-1]] for p, stem in stems.items()})
         return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
