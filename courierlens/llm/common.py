@@ -42,6 +42,27 @@ def bucket(columns: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets))
 
 
+def maybe_among(rows: DataFrame, ids: DataFrame, key: str, out: str, slots: int = 1 << 24) -> DataFrame:
+    """Add whether a row's ``key`` may be among ``ids``: never false for one that is, seldom true for others.
+
+    The ids set bits of a bitmap of fixed size, two megabytes by default, which
+    is what is broadcast; so rows that need no join with ``ids`` are known
+    without a shuffle. The more ids, the more often the answer is true.
+    """
+
+    def slot(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(slots)) + 1
+
+    maps = ids.groupBy(F.bitmap_bucket_number(slot(key)).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot(key))).alias("_bits")
+    )
+    joined = rows.join(F.broadcast(maps), F.bitmap_bucket_number(slot(key)) == F.col("_bucket"), "left")
+    at = F.bitmap_bit_position(slot(key))
+    byte = F.conv(F.hex(F.col("_bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    return joined.withColumn(out, F.coalesce(set_bit, F.lit(False))).drop("_bucket", "_bits")
+
+
 class Cache(dict):
     """Values by word, made on first use; emptied when it holds ``most`` words, which bounds a worker's memory."""
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.llm.common import Cache, connected, written
+from courierlens.llm.common import Cache, connected, maybe_among, written
 
 
 @dataclass(frozen=True)
@@ -258,8 +258,10 @@ def near_links(documents: DataFrame, classes: DataFrame, params: NearParams) ->
         "near-close",
     )
     wanted = close.select(F.col("rep").alias("doc_id")).distinct()
+    # texts of classes that are alone are left out before the join, so only candidates' texts are shuffled
+    likely = maybe_among(documents.select("doc_id", "text"), wanted, "doc_id", "_maybe").filter("_maybe").drop("_maybe")
     sets = written(
-        documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInPandas(
+        likely.join(wanted, "doc_id", "left_semi").mapInPandas(
             _sets_of(params), "rep bigint, shingles binary"
         ),
         "near-sets",
@@ -308,9 +310,13 @@ def near_duplicates(documents: DataFrame, params: NearParams = NearParams()) ->
 
 def keep_one(documents: DataFrame, params: NearParams = NearParams()) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns; one row where an id repeats."""
-    kept = near_duplicates(documents, params).filter("kept and doc_id is not null")
-    ids = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows_of_id")).withColumnRenamed("doc_id", "_kept_id")
-    joined = documents.join(ids, F.col("doc_id") == F.col("_kept_id"))
-    single = joined.filter("_rows_of_id = 1").drop("_rows_of_id", "_kept_id")
-    several = joined.filter("_rows_of_id > 1").drop("_rows_of_id", "_kept_id").dropDuplicates(["doc_id"])
-    return single.unionByName(several).unionByName(documents.filter("doc_id is null"))
+    rows = near_duplicates(documents, params).filter("doc_id is not null")
+    ids = rows.groupBy("doc_id").agg(F.max("kept").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_repeats"))
+    special = written(ids.filter("not _stays or _repeats"), "near-special")
+    # most rows are neither dropped nor repeated: they pass without a shuffle
+    marked = maybe_among(documents, special, "doc_id", "_maybe")
+    passed = marked.filter("not _maybe").drop("_maybe")
+    looked_at = marked.filter("_maybe").drop("_maybe").join(special.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    single = looked_at.filter("_id is null").drop("_id", "_stays", "_repeats")
+    several = looked_at.filter("_stays and _repeats").drop("_id", "_stays", "_repeats").dropDuplicates(["doc_id"])
+    return passed.unionByName(single).unionByName(several)
