@@ -42,6 +42,7 @@ class PpmParams:
 
 END = b""
 SYMBOLS = 256
+PIECE = 1 << 18  # bytes of a text packed at a time
 SCORED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 )
@@ -52,14 +53,17 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def grams_of(words: list[bytes], order: int) -> np.ndarray:
-    """Packed (order + 1)-grams, one for each byte of the text and its end; the last byte is the coded one."""
-    stream = np.frombuffer(b"\x09" * order + b" ".join(words) + b"\x0a", np.uint8).astype(np.int64)
+def grams_of(words: list[bytes], order: int) -> Iterator[np.ndarray]:
+    """Packed (order + 1)-grams, one for each byte of the text and its end, in pieces; the last byte is the coded one."""
+    stream = np.frombuffer(b"\x09" * order + b" ".join(words) + b"\x0a", np.uint8)
     size = len(stream) - order
-    packed = np.zeros(size, np.int64)
-    for i in range(order + 1):
-        packed = packed << 8 | stream[i : i + size]
-    return packed
+    for start in range(0, size, PIECE):
+        end = min(start + PIECE, size)
+        packed = np.zeros(end - start, np.int64)
+        for i in range(order + 1):
+            packed <<= 8
+            packed |= stream[start + i : end + i]
+        yield packed
 
 
 def block_of(params: PpmParams) -> Column:
@@ -69,27 +73,43 @@ def block_of(params: PpmParams) -> Column:
 
 
 class GramCounts:
-    """Counts by gram, merged whenever enough have come together."""
+    """Counts by gram; new ones are summed up in small lots, and lots merged when they outweigh what is merged."""
 
-    def __init__(self, most: int = 6_000_000):
-        self.most, self.waiting, self.parts = most, 0, []
+    def __init__(self, lot: int = 500_000):
+        self.lot, self.fresh, self.waiting, self.lots = lot, [], 0, []
 
     def add(self, grams: np.ndarray, weight: int) -> None:
-        self.parts.append((grams, np.full(len(grams), weight, np.int64)))
+        self.fresh.append((grams, np.full(len(grams), weight, np.int32)))
         self.waiting += len(grams)
-        if self.waiting > self.most:
-            self.merge()
-
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        grams, weights = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        if self.waiting >= self.lot:
+            self.close_lot()
+
+    def close_lot(self) -> None:
+        """Like a binary counter: a lot takes in every earlier one that is not larger, so a gram is moved few times."""
+        if not self.fresh:
+            return
+        new = self.summed(self.fresh)
+        self.fresh, self.waiting = [], 0
+        while self.lots and len(self.lots[-1][0]) <= 2 * len(new[0]):
+            new = self.summed([self.lots.pop(), new])
+        self.lots.append(new)
+
+    @staticmethod
+    def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        grams, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(grams, kind="stable")
         grams, weights = grams[order], weights[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        merged = grams[first], np.add.reduceat(weights, first)
-        self.parts, self.waiting = [merged], 0
-        return merged
+        return grams[first], np.add.reduceat(weights, first, dtype=np.int64)
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        self.close_lot()
+        if not self.lots:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        while len(self.lots) > 1:
+            self.lots.append(self.summed([self.lots.pop(), self.lots.pop()]))
+        return self.lots[0]
 
 
 def _tallied(params: PpmParams):
@@ -112,7 +132,8 @@ def _tallied(params: PpmParams):
                         yield from result(now)
                     now, grams, words = block, GramCounts(), Counter()
                 tokens = words_of(text)
-                grams.add(grams_of(tokens, params.order), 0 if held else 1)
+                for piece in grams_of(tokens, params.order):
+                    grams.add(piece, 0 if held else 1)
                 tokens.append(END)
                 if held:
                     for token in tokens:
@@ -196,7 +217,7 @@ def _scored(params: PpmParams, total: int, distinct: int):
         found = []
         for doc_id, held, text in zip(docs["doc_id"].astype("Int64"), docs["held_out"], docs["text"], strict=True):
             tokens = words_of(text)
-            code = costs[np.searchsorted(grams, grams_of(tokens, params.order))].sum()
+            code = sum(costs[np.searchsorted(grams, piece)].sum() for piece in grams_of(tokens, params.order))
             tokens.append(END)
             c = np.fromiter(map(counts.__getitem__, tokens), float, len(tokens))
             base = np.log10((c + 1) / (total + distinct + 1)).sum()
