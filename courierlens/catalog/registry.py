@@ -270,8 +270,8 @@ def filter_by_ids(fx: Fixtures) -> DataFrame:
     "orders_with_points",
     sql.build(
         sql.BASE,
-        """select distinct o.id as order_id, o.route, o.job, tr.t as time_us, tr.lat, tr.lon, tr.raw_id, tr.status
-           from trc tr join ords o on tr.route_id = o.id""",
+        """select o.id as order_id, o.route, o.job, tr.t as time_us, tr.lat, tr.lon, tr.raw_id, tr.status
+           from trc tr join (select distinct * from ords) o on tr.route_id = o.id""",
     ),
 )
 def orders_with_points(fx: Fixtures) -> DataFrame:

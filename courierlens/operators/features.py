@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from courierlens.functions.geo import distance_bin, metres_between, whole_metres
 from courierlens.functions.rules import dwell_seconds, seconds_between
-from courierlens.operators.slices import SLICE, before, in_slice, link, next_in_key, position, running
+from courierlens.operators.slices import SLICE, before, in_slice, link, next_in_key, position, running, with_slice
 from courierlens.params import EventParams
 from courierlens.sources.points import TRACE_ORDER, spread_trace
 
@@ -308,9 +308,10 @@ def append_next_route(trace: DataFrame, points: DataFrame, orders: DataFrame, p:
         .groupBy("delivery_job_oid", "route_id")
         .agg(F.max("time").alias("time"))
     )
-    sliced = ends.withColumn(SLICE, F.floor(F.unix_micros("time") / F.lit(p.slice_seconds * 1_000_000)))
+    sliced = with_slice(ends, "time", p.slice_seconds)
     followed = next_in_key(sliced, ["delivery_job_oid"], ["time", "route_id"], "route_id", "next_route_id")
     pairs = followed.filter(F.col("next_route_id").isNotNull()).select("route_id", "next_route_id")
     moved = points.withColumnRenamed("route_id", "next_route_id").join(pairs, "next_route_id").drop("next_route_id")
-    tail = moved.join(orders, moved["route_id"] == orders["_id_oid"], "inner")
+    once = orders.distinct()
+    tail = moved.join(once, moved["route_id"] == once["_id_oid"], "inner")
     return trace.unionByName(tail, allowMissingColumns=True)

@@ -117,9 +117,9 @@ def values_at_ranks(rows: DataFrame, column: str, ranks: Sequence[int], limit: i
 
 
 def quartiles(df: DataFrame, column: str, approx: bool = False) -> tuple[float | None, float | None]:
-    """First and third quartile, linear between neighbours; missing values do not count."""
+    """First and third quartile, linear between neighbours; missing values and NaN do not count."""
     shares = (0.25, 0.75)
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    values = df.select(F.col(column).cast("double").alias("value")).filter(~F.isnan("value"))  # null fails it too
     if approx:
         found = values.agg(F.percentile_approx("value", list(shares), 10000).alias("q")).first()["q"]
         return (found[0], found[1]) if found else (None, None)

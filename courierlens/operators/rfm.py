@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.operators.ranks import ntile_columns
-from courierlens.operators.slices import SLICE, heavy_keys, number_rows, slice_heavy_keys
+from courierlens.operators.slices import SLICE, heavy_keys, number_rows, slice_heavy_keys, whole
 from courierlens.params import RfmParams
 from courierlens.session import stage
 
@@ -49,10 +49,11 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     joined = counted.join(money, "id").withColumn(
         "h", F.unix_timestamp("reach_date") - F.unix_timestamp("courier_verify_date")
     )
-    heavy = heavy_keys(counted, "client", rp.heavy_client_orders)
-    sliced = slice_heavy_keys(joined, "client", "checkout_date", rp.slice_days * 86400, heavy)
-    spread = sliced.repartition("client", SLICE)
-    numbered = number_rows(spread, ["client"], ["checkout_date", "id"], "t", total="_orders")
+    heavy = heavy_keys(counted.withColumn("_client", whole("client")), "_client", rp.heavy_client_orders)
+    keyed = joined.withColumn("_client", whole("client"))
+    sliced = slice_heavy_keys(keyed, "_client", "checkout_date", rp.slice_days * 86400, heavy)
+    spread = sliced.repartition("_client", SLICE)
+    numbered = number_rows(spread, ["_client"], ["checkout_date", "id"], "t", total="_orders")
     return numbered.withColumn("y", F.col("_orders") - F.col("t") + 1).select(
         "id",
         "client",
@@ -68,6 +69,12 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     )
 
 
+def same_client(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join on the client, orders without one being one client's."""
+    other = right.withColumnRenamed("client", "_other")
+    return left.join(other, F.col("client").eqNullSafe(F.col("_other"))).drop("_other")
+
+
 def best_device_store(ranked: DataFrame, rp: RfmParams) -> DataFrame:
     """Per client the device and the store with the highest revenue in the latest orders.
 
@@ -78,14 +85,15 @@ def best_device_store(ranked: DataFrame, rp: RfmParams) -> DataFrame:
     def top(groups: list[str], last: int, kept: list[str]) -> DataFrame:
         revenue = F.sum(F.when(F.col("y") <= last, F.col("net_revenue_tax_excluded")).otherwise(F.lit(0.0)))
         sums = ranked.groupBy("client", *groups).agg(revenue.alias("sum"), F.min("id").alias("first_id"))
-        best = F.struct(F.col("sum").isNull(), F.col("sum"), -F.col("first_id"))
-        return sums.groupBy("client").agg(F.max_by(F.struct(*kept), best).alias("best"))
+        # the highest comes first, a missing sum before all; ids may be text
+        rank = F.struct(F.col("sum").isNotNull(), ~F.isnan(F.coalesce("sum", F.lit(0.0))), -F.col("sum"), "first_id")
+        return sums.groupBy("client").agg(F.min_by(F.struct(*kept), rank).alias("best"))
 
     device = top(DEVICE, rp.last_n, DEVICE).select(
         "client", *[F.col("best")[c].alias(n) for c, n in zip(DEVICE, ["deviceType", "deviceBrand", "deviceModel"], strict=True)]
     )
     store = top(["store"], rp.store_last_n, ["store"]).select("client", F.col("best.store").alias("bestStore"))
-    return device.join(store, "client")
+    return same_client(device, store)
 
 
 def rfm_values(ranked: DataFrame, rp: RfmParams) -> DataFrame:
@@ -114,7 +122,7 @@ def rfm_values(ranked: DataFrame, rp: RfmParams) -> DataFrame:
         "mValue": F.try_divide("_money", "_recent_orders"),
         "gValue": F.try_divide("_margin", "_recent_orders"),
     }
-    return totals.join(best_device_store(ranked, rp), "client").select(
+    return same_client(totals, best_device_store(ranked, rp)).select(
         "client",
         "rValue",
         "tValue",

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 SLICE = "slice"
 LAST_SLICE = 2**63 - 1
-MOST_HEAVY_KEYS = 1000
 
 
 def with_slice(df: DataFrame, time: str, seconds: int) -> DataFrame:
@@ -32,13 +31,18 @@ def with_slice(df: DataFrame, time: str, seconds: int) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows, at most a thousand of them, the heaviest.
+    """All keys with more than ``rows`` rows; how they are joined is left to the adaptive planner."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > rows).select(key)
+
+
+def whole(*columns: str) -> Column:
+    """A key that is never missing: rows whose columns are null form one group, in windows and joins alike.
 
-    The bound makes the result safe to broadcast whatever the table's size. A
-    key beyond it holds less than a thousandth of all rows.
+    Fields inside a struct compare null as equal to null, and the struct itself
+    is not null, so an equi-join on it loses no row.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > rows).orderBy(F.col("_rows").desc()).limit(MOST_HEAVY_KEYS).select(key)
+    return F.struct(*columns)
 
 
 def slice_heavy_keys(df: DataFrame, key: str, time: str, seconds: int, heavy: DataFrame) -> DataFrame:
@@ -46,18 +50,14 @@ def slice_heavy_keys(df: DataFrame, key: str, time: str, seconds: int, heavy: Da
 
     Worth its counting pass where most keys have few rows over a long time.
     """
-    marked = df.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+    marked = df.join(heavy.withColumn("_heavy", F.lit(True)), key, "left")
     sliced = with_slice(marked, time, seconds)
     return sliced.withColumn(SLICE, F.when(F.col("_heavy"), F.col(SLICE)).otherwise(F.lit(0))).drop("_heavy")
 
 
 def by_slice(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Shuffle by (key, slice) and drop repeated rows on the way.
-
-    Equal rows have the same key and time, so they meet in the same partition
-    and removing them costs no further shuffle.
-    """
-    return df.repartition(*key, SLICE).dropDuplicates()
+    """Shuffle by (key, slice); repeated rows stay, as each is a point of its own."""
+    return df.repartition(*key, SLICE)
 
 
 def in_slice(key: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -86,7 +86,8 @@ def link(
     """Join to every row what its slice needs from the other slices of the key.
 
     ``summary`` are aggregates per slice. ``linked`` gets the summary rows and
-    the window over the slices of a key; its new columns reach the rows.
+    the window over the slices of a key; its new columns reach the rows. Where
+    a key may be null, pass ``whole(key)`` in its place.
     """
     window = Window.partitionBy(*key).orderBy(SLICE)
     slices = df.groupBy(*key, SLICE).agg(*summary)

@@ -22,13 +22,14 @@ def filter_by_ids(df: DataFrame, column: str, ids: Sequence | DataFrame | None)
 
 
 def join_trace(points: DataFrame, orders: DataFrame) -> DataFrame:
-    """Points with the attributes of their order, without repeated rows.
+    """Points with the attributes of their order; a repeated order row counts once, a repeated point stays.
 
     A route far longer than others is left to the skew handling of the
     adaptive join; small order tables are broadcast by it after their size is
     known.
     """
-    return points.join(orders, points["route_id"] == orders["_id_oid"], "inner").dropDuplicates()
+    once = orders.distinct()
+    return points.join(once, points["route_id"] == once["_id_oid"], "inner")
 
 
 def min_points(trace: DataFrame, n: int = MIN_POINTS, by: str = "route_id") -> DataFrame:

@@ -53,9 +53,10 @@ EVENTS = (
 def _trace(points: DataFrame, orders: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Join points with just the order attributes an event needs.
 
-    Repeated rows go when the features shuffle the trace, at no extra shuffle.
+    Repeated order rows go before the join, which shuffles by the order id
+    anyway; repeated points stay.
     """
-    slim = orders.select("_id_oid", *attributes)
+    slim = orders.select("_id_oid", *attributes).distinct()
     return points.join(slim, points["route_id"] == slim["_id_oid"], "inner")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.functions.rules import real_id
-from courierlens.operators.slices import SLICE, by_slice, forward_fill, number_rows, with_slice
+from courierlens.operators.slices import SLICE, by_slice, forward_fill, number_rows, whole, with_slice
 from courierlens.operators.trace import filter_by_ids
 from courierlens.params import ARTISAN, FOOD, MARKET, EventParams
 
@@ -36,6 +36,7 @@ def attributed_points(points: DataFrame, id_columns: Sequence[str], p: EventPara
 
     ``raw_<column>`` is the id the point carries, ``<column>_filled`` that or
     else the courier's last known one. Any number of columns takes one shuffle.
+    Points without a courier are kept, as the points of one.
     """
     raw = points.select(
         F.col("courierid").alias("courier_oid"),
@@ -46,9 +47,9 @@ def attributed_points(points: DataFrame, id_columns: Sequence[str], p: EventPara
         "lon",
         *[real_id(F.col(c)).alias(f"raw_{c}") for c in id_columns],
     )
-    sliced = with_slice(raw, "time", p.slice_seconds)
+    sliced = with_slice(raw, "time", p.slice_seconds).withColumn("_courier", whole("courier_oid"))
     fills = {f"raw_{c}": f"{c}_filled" for c in id_columns}
-    return forward_fill(sliced, ["courier_oid"], TRACE_ORDER, fills).drop(SLICE)
+    return forward_fill(sliced, ["_courier"], TRACE_ORDER, fills).drop(SLICE, "_courier")
 
 
 def id_column_of(domain_type: int) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courierlens.operators import ranks
-from courierlens.operators.slices import forward_fill, heavy_keys, next_in_key, number_rows, slice_heavy_keys, with_slice
+from courierlens.operators.slices import forward_fill, heavy_keys, next_in_key, number_rows, slice_heavy_keys, whole, with_slice
 from courierlens.operators.trace import iqr_outliers
 
 
@@ -102,3 +102,18 @@ def test_iqr_outliers(spark):
     assert sorted(r["v"] for r in iqr_outliers(frame, "v", whisker=2.0).collect()) == [1.0, 2.0, 3.0, 10.0]
     assert iqr_outliers(frame.limit(0), "v").count() == 0
     assert iqr_outliers(frame, "v", approx=True).count() > 0
+
+
+def test_missing_keys_are_one_group_and_no_row_is_lost(spark):
+    start = datetime(2024, 1, 1)
+    data = [(None, start + timedelta(seconds=i), i, "a" if i == 0 else None) for i in range(0, 60, 20)]
+    frame = spark.createDataFrame(data, "key string, time timestamp, id long, value string")
+    sliced = with_slice(frame, "time", 7).withColumn("k", whole("key"))
+    filled = forward_fill(sliced, ["k"], ["time", "id"], {"value": "filled"})
+    rows = number_rows(filled, ["k"], ["time", "id"], "n", total="size").select("id", "filled", "n", "size").collect()
+    assert sorted(map(tuple, rows)) == [(0, "a", 1, 3), (20, "a", 2, 3), (40, "a", 3, 3)]
+
+
+def test_nan_does_not_count_as_a_value(spark):
+    frame = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, float("nan"), None)], "v double")
+    assert sorted(r["v"] for r in iqr_outliers(frame, "v").collect()) == [1.0, 2.0, 3.0, 4.0]
