@@ -17,8 +17,10 @@ task, so no task sees all pieces of a length.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,20 +39,49 @@ PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 @dataclass(frozen=True)
 class PackParams:
-    """``ranks`` is the path of a rank file, ``pattern`` what its tokenizer cuts texts by."""
+    """``ranks`` is the path of a rank file, ``pattern`` what its tokenizer cuts texts by.
+
+    ``added`` holds the (string, id) of tokens that are found in a text before it is cut.
+    """
 
     ranks: str
     pattern: str
     capacity: int = 1024
     end_id: int = 2
+    added: tuple[tuple[str, int], ...] = ()
+
+
+def added_tokens(path: str) -> tuple[tuple[str, int], ...]:
+    """(string, id) of the added tokens of a tokenizer file; those that look beyond their own string are an error."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    for token in tokens:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} needs more than its own string")
+    return tuple((token["content"], token["id"]) for token in tokens)
+
+
+class AddedCoder:
+    """Cuts texts at the added tokens, the longest first, and encodes what lies between them apart."""
+
+    def __init__(self, coder: WordCoder, added: tuple[tuple[str, int], ...]):
+        self.coder, self.ids = coder, {token: to_bytes([number]) for token, number in added}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")")
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        # every second part is an added token
+        cut = [self.cuts.split(t) if t and any(token in t for token in self.ids) else [t] for t in texts]
+        between = iter(self.coder.encode([part for parts in cut for part in parts[::2]]))
+        return [b"".join(self.ids[p] if at % 2 else next(between) for at, p in enumerate(parts)) for parts in cut]
 
 
-def file_coder(path: str, pattern: str) -> WordCoder:
-    """Coder of a rank file; strings of special tokens in a text are ordinary text."""
+def file_coder(path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> WordCoder | AddedCoder:
+    """Coder of a rank file; strings of special tokens in a text are ordinary text unless they are ``added``."""
     import tiktoken
 
     encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
-    return WordCoder(lambda words: [to_bytes(encoding.encode_ordinary(w)) for w in words])
+    coder = WordCoder(lambda words: [to_bytes(encoding.encode_ordinary(w)) for w in words])
+    return AddedCoder(coder, added) if added else coder
 
 
 def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -62,7 +93,7 @@ def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces_of(params: PackParams):
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, coder = TaskContext.get().partitionId(), file_coder(params.ranks, params.pattern)
+        part, coder = TaskContext.get().partitionId(), file_coder(params.ranks, params.pattern, params.added)
         seen = [0] * (params.capacity + 1)
         end = to_bytes([params.end_id])
         for rows in batches:

@@ -12,7 +12,7 @@ from courierlens.llm.common import table
 from courierlens.llm.cover import near_vectors
 from courierlens.llm.html import extract
 from courierlens.llm.minhash import NearParams, near_duplicates
-from courierlens.llm.packing import PackParams, pack
+from courierlens.llm.packing import PackParams, added_tokens, pack
 from courierlens.llm.ppm import scores
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
@@ -55,8 +55,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_params() -> PackParams:
-    """The rank file holds the vocabulary of byte_bpe_50k.json; the tests hold its ids against that file's."""
-    return PackParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """The rank file holds the vocabulary of byte_bpe_50k.json; the tests hold its ids against that file's.
+
+    The added tokens are in the json only.
+    """
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return PackParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from courierlens.llm import bpe, html, packing, ppm, warc
+from courierlens.llm.queries import pack_params
 from courierlens.llm.wordcoder import to_bytes
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,6 +87,23 @@ def test_packing_ids_are_those_of_the_tokenizer_file():
         assert ids == to_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+def test_packing_finds_the_added_tokens_of_the_tokenizer_file(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}x", f"one,{mark}\n\n two {mark}", f" {mark} {mark} ", "<|endoftext|", *ODD[1:], *random_texts(300)]
+    texts += [mark.join(random_texts(4)), " ".join([mark] * 1500)]
+    params = pack_params()
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    coder = packing.file_coder(params.ranks, params.pattern, params.added)
+    assert coder.encode([None, *texts]) == [b"", *map(to_bytes, want)]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), params).collect()
+    for row in rows:
+        ids = [*want[row["doc_id"]], 2][row["start"] : row["start"] + row["length"]]
+        assert (len(ids), zlib.crc32(to_bytes(ids))) == (row["length"], row["ids_crc32"])
+    assert sum(r["length"] for r in rows) == sum(map(len, want)) + len(texts)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_piece_once(seed):
     draw = np.random.default_rng(seed)
