@@ -5,7 +5,8 @@ host on how many different pages each subtree occurs; a subtree that recurs on
 many of them is the site's template and is deleted. What no count can show, as
 it differs from page to page, is told by the markup: navigation, page headers
 and footers, asides, forms, scripts, styles, and elements whose class, id or
-role names a menu, an advert, a notice, or comments.
+role names a menu, an advert, a notice, or comments. Inside articles a name
+drops boxes only, and if it may name a part of the text, only those without prose.
 
 Articles themselves are never template, however often they are copied, and
 neither is prose inside an article: only boxes in it can be. Copies of a whole
@@ -73,6 +74,19 @@ NAMED = frozenset(
     "signup login search form comment comments disqus respond replies reply discussion related recommended share sharing "
     "social pagination pager widget complementary contentinfo copyright legal disclaimer skip hidden dialog alertdialog".split()
 )
+#: Words of NAMED that also name a part of what a text is about.
+CONTENT_WORDS = frozenset(
+    "menu promotion notice notices alert subscription search form discussion related share sharing social legal "
+    "disclaimer copyright login reply banner hidden skip overlay sponsor promoted".split()
+)
+#: Words that say nothing on their own, beside a word of NAMED.
+FURNITURE = frozenset(
+    "area bar block box btn button buttons container content group icons inner item items left right top bottom link links "
+    "list main outer panel section site toggle unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements a text is made of; outside articles, too, only a class that says nothing else drops them.
+TEXTUAL = HEADINGS | frozenset("p blockquote pre section table caption thead tbody tfoot tr th td li dd dt figure figcaption".split())
 CONTAINERS = frozenset("div section aside ul ol dl table header footer nav form span figure details center blockquote".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
@@ -80,6 +94,8 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Characters outside links from which a box is prose.
+MUCH = 100
 NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -94,30 +110,77 @@ class Element:
     key: int = 0
 
 
-def _named_away(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes tell that the element is no main text, and whether they tell that it is."""
-    away = main = False
+def _names(tag: str, within: bool, name: str, value: str) -> tuple[bool, bool]:
+    """Whether a class, id or role drops an element, and whether it does so unless the element holds prose.
+
+    Any word of NAMED drops a box outside articles. Inside them and for textual
+    elements, a name must consist of such words, ids are anchors rather than
+    names of textual elements, and headings and paragraphs stay.
+    """
+    away = doubtful = False
+    for token in value.split() if tag not in ("body", "html", "main", "article") else ():
+        words = {w.lower() for w in NAME_PARTS.split(token) if w}
+        if not words & NAMED:
+            continue
+        if not within and tag not in TEXTUAL:
+            return True, False
+        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or (name == "id" and tag in TEXTUAL):
+            continue
+        if words <= NAMED | FURNITURE:
+            sure = name == "role" or bool(words & NAMED - CONTENT_WORDS)
+            away, doubtful = away or sure, doubtful or not sure
+    return away, doubtful
+
+
+def _named_away(tag: str, within: bool, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether the attributes tell that the element is no main text, that it is none unless it holds prose, that it is."""
+    away = doubtful = main = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in NAME_PARTS.split(value) if w}
             if name == "role" and value == "main":
                 main = True
-            away = away or bool(words & NAMED and tag not in ("body", "html", "main", "article"))
+            sure, unless = _names(tag, within, name, value)
+            away, doubtful = away or sure, doubtful or unless
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             away = True
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
             away = True
         elif name == "itemprop" and value == "articleBody":
             main = True
-    return away, main
+    return away, doubtful, main
+
+
+def _text_sizes(node: Element) -> tuple[int, int, bool]:
+    """Characters outside and inside links below an element, and whether a heading or paragraph is among them."""
+    outside = inside = 0
+    prose = False
+    stack = [(node, node.tag == "a")]
+    while stack:
+        at, linked = stack.pop()
+        for part in at.parts:
+            if isinstance(part, Element):
+                if not part.dropped:
+                    prose = prose or part.tag == "p" or part.tag in HEADINGS
+                    stack.append((part, linked or part.tag == "a"))
+            elif linked:
+                inside += len(part.strip())
+            else:
+                outside += len(part.strip())
+    return outside, inside, prose
+
+
+def _holds_prose(node: Element) -> bool:
+    """Whether most of the text is no link, and there is a paragraph, a heading or much of it."""
+    outside, inside, prose = _text_sizes(node)
+    return outside > inside and (prose or outside >= MUCH)
 
 
 def parse(source: str) -> Element:
     """Element tree of a page, forgiving as browsers are; only what the extraction needs."""
     root = Element("html", None)
     at, end, place = root, len(source), 0
-    lower = None
+    lower, in_doubt = None, []
     while place < end:
         token = TOKEN.search(source, place)
         if token is None:
@@ -133,11 +196,15 @@ def parse(source: str) -> Element:
             tag, attributes = opening.lower(), token.group(3) or ""
             at = _make_room(at, tag)
             child = Element(tag, at)
-            away, main = _named_away(tag, attributes) if "=" in attributes or "hidden" in attributes else (False, False)
+            away = doubtful = main = False
+            if "=" in attributes or "hidden" in attributes:
+                away, doubtful, main = _named_away(tag, at.within, attributes)
             child.main = main or tag in ("article", "main")
             child.within = child.main or at.within
             child.dropped = away or tag in DROPPED or (tag == "header" and not at.within)
             at.parts.append(child)
+            if doubtful and not child.dropped:
+                in_doubt.append(child)
             if tag in RAW:
                 lower = source.lower() if lower is None else lower
                 stop = lower.find(f"</{tag}", place)
@@ -152,6 +219,8 @@ def parse(source: str) -> Element:
                 at = child
             elif tag not in VOID and tag in BLOCKS | {"b", "i", "em", "strong", "span", "a"}:
                 at = child  # a slash does not close such an element
+    for child in reversed(in_doubt):
+        child.dropped = not _holds_prose(child)
     return root
 
 

@@ -211,6 +211,18 @@ def test_main_text_of_one_page():
     assert html.main_text("<p>a</b>c</div>d") == "acd"
 
 
+def test_names_do_not_drop_prose():
+    article = """<article><h2 id="Legal_status">Legal</h2><p class="share-price">Price</p><section id="discussion"><h2>Discussion</h2>
+    <p>Found.</p></section><table id="search"><tr><td>cell</td></tr></table><div class="discussion"><p>More.</p></div>
+    <div class="related-work">Work</div><blockquote class="notice">Quote</blockquote>{}</article>"""
+    kept = "Legal Price Discussion Found. cell More. Work Quote"
+    boxes = """<div class="ad">x</div><div class="cookie-notice">x</div><div class="share"><a href="/">x</a></div><ul class="related links">
+    <li><a href="/">x</a></ul><section class="comments"><p>x</p></section><div class="social">x</div><div id="sidebar"><p>x</p></div>"""
+    assert html.main_text(article.format(boxes)) == kept
+    outside = "<div><h2 id='Related_work'>Related</h2><p class='share-price'>Price</p><section id='discussion'>Text</section>"
+    assert html.main_text(outside + "<p class='copyright'>c</p><div class='site-nav'>n</div></div>") == "Related Price Text"
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = [
         (
