@@ -10,7 +10,9 @@ drops boxes only, and if it may name a part of the text, only those without pros
 
 Articles themselves are never template, however often they are copied, and
 neither is prose inside an article: only boxes in it can be. Copies of a whole
-page count once, as a subtree must occur below different parents.
+page count once, as a subtree must occur below different parents. A box that is
+most of the text of the pages it is on stays as well: copies of a story need no
+article element to be kept.
 """
 
 from __future__ import annotations
@@ -34,11 +36,14 @@ class TemplateParams:
 
     Boxes outside articles need ``box_share`` of the pages, prose and what
     stands inside articles ``text_share``: passages are quoted, boxes are not.
+    A box that is most of the text on ``own_share`` of its pages is what these
+    pages are about, not template.
     """
 
     least_parents: int = 5
     box_share: float = 0.01
     text_share: float = 0.3
+    own_share: float = 0.5
 
 
 #: Elements without an end tag, elements whose text is no text, elements that begin a block (fixed names of HTML).
@@ -88,6 +93,13 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements a text is made of; outside articles, too, only a class that says nothing else drops them.
 TEXTUAL = HEADINGS | frozenset("p blockquote pre section table caption thead tbody tfoot tr th td li dd dt figure figcaption".split())
 CONTAINERS = frozenset("div section aside ul ol dl table header footer nav form span figure details center blockquote".split())
+TABLE_PARTS = frozenset("caption tbody td tfoot th thead tr".split())
+#: Elements within a line of text, and elements that hold lines.
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math q rp rt ruby s samp small strike "
+    "strong sub sup time tt u var option optgroup summary legend".split()
+)
+LINES = INLINE | HEADINGS | frozenset("p pre span dt figcaption".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?",
@@ -273,15 +285,43 @@ def hash_tree(root: Element) -> list[Element]:
     return order
 
 
-def candidates(root: Element) -> set[tuple[int, int, bool]]:
-    """(subtree, parent, is text) of what may be template: boxes anywhere, prose outside articles."""
+def candidates(root: Element) -> set[tuple[int, int, bool, bool]]:
+    """(subtree, parent, is text, is most of the page's text) of what may be template.
+
+    That are boxes anywhere, prose outside articles, and any other element that
+    is no part of a line, so the highest recurring subtree is found whatever
+    its tag. Long prose in a box counts as text.
+    """
+    order = hash_tree(root)
+    sizes: dict[int, tuple[int, int]] = {}
+    for node in order:  # characters outside and inside links, without what is dropped
+        outside = inside = 0
+        for part in node.parts:
+            if not isinstance(part, Element):
+                outside += len(part.strip())
+            elif not part.dropped:
+                below = sizes[id(part)]
+                outside, inside = outside + below[0], inside + below[1]
+        sizes[id(node)] = (0, outside + inside) if node.tag == "a" else (outside, inside)
+    whole = sizes[id(root)][0]
     found = set()
-    for node in hash_tree(root):
+    for node in order:
         if node.parent is None or node.dropped or node.main or node.tag in ("body", "html"):
             continue
-        if node.tag in CONTAINERS or (node.tag in PROSE and not node.within):
-            if not _holds_main(node):
-                found.add((node.key, node.parent.key, node.within or node.tag in PROSE))
+        if node.tag in CONTAINERS:
+            text = node.within
+        elif node.tag in PROSE or node.tag in TABLE_PARTS:
+            if node.within:
+                continue
+            text = True
+        elif node.tag in INLINE or node.tag in VOID or node.parent.tag in LINES:
+            continue
+        else:
+            text = True
+        if not _holds_main(node):
+            outside, inside = sizes[id(node)]
+            much = outside >= MUCH and outside > inside
+            found.add((node.key, node.parent.key, text or much, much and 2 * outside > whole))
     return found
 
 
@@ -350,12 +390,12 @@ def host_of(url: Column) -> Column:
 def _candidates_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         found = [
-            (host, key, parent, text)
+            (host, key, parent, text, own)
             for host, source in zip(rows["host"], rows["html"], strict=True)
             if source
-            for key, parent, text in candidates(parse(source))
+            for key, parent, text, own in candidates(parse(source))
         ]
-        yield pd.DataFrame(found, columns=["host", "subtree", "parent", "text"])
+        yield pd.DataFrame(found, columns=["host", "subtree", "parent", "text", "own"])
 
 
 def _page_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -364,7 +404,7 @@ def _page_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             (page, host, key)
             for page, host, source in zip(rows["page_id"], rows["host"], rows["html"], strict=True)
             if source
-            for key in {k for k, _, _ in candidates(parse(source))}
+            for key in {k for k, *_ in candidates(parse(source))}
         ]
         yield pd.DataFrame(found, columns=["page_id", "host", "subtree"])
 
@@ -372,15 +412,17 @@ def _page_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def host_templates(pages: DataFrame, params: TemplateParams = TemplateParams()) -> DataFrame:
     """(host, subtree) of every template, counted over all pages with a host."""
     hosted = pages.select(host_of(F.col("url")).alias("host"), "html").filter("host <> '' and html <> ''")
-    found = hosted.mapInPandas(_candidates_of, "host string, subtree bigint, parent bigint, text boolean")
+    found = hosted.mapInPandas(_candidates_of, "host string, subtree bigint, parent bigint, text boolean, own boolean")
     # one row per subtree, parent and task leaves the map side; the pages of a host are counted as they come
-    pairs = found.groupBy("host", "subtree", "parent").agg(F.count(F.lit(1)).alias("pages"), F.max("text").alias("text"))
+    pairs = found.groupBy("host", "subtree", "parent").agg(
+        F.count(F.lit(1)).alias("pages"), F.max("text").alias("text"), F.count_if("own").alias("own")
+    )
     counts = pairs.groupBy("host", "subtree").agg(
-        F.count(F.lit(1)).alias("parents"), F.sum("pages").alias("pages"), F.max("text").alias("text")
+        F.count(F.lit(1)).alias("parents"), F.sum("pages").alias("pages"), F.max("text").alias("text"), F.sum("own").alias("own")
     )
     sizes = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
     share = F.when(F.col("text"), params.text_share).otherwise(params.box_share)
-    several = counts.filter(F.col("parents") >= params.least_parents)
+    several = counts.filter((F.col("parents") >= params.least_parents) & (F.col("own") < params.own_share * F.col("pages")))
     return several.join(sizes, "host").filter(F.col("pages") >= share * F.col("of")).select("host", "subtree")
 
 

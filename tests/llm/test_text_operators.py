@@ -243,6 +243,28 @@ def test_templates_go_and_articles_stay(spark):
     assert html.extract(pages.limit(0)).collect() == []
 
 
+def test_copies_without_an_article_stay(spark):
+    story = "A long story told in several places. " * 8
+    page = "<body><div>Crumb {0} of the site</div><div class='content'><p>{1}</p></div><div>Views {0}</div></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, story if i < 5 else f"{story} Its number is {i}.")) for i in range(100)]
+    about = "<div class='info'>" + "About this company and what it stands for. " * 5 + "</div>"
+    rows += [(100 + i, f"http://a.example/{i}", f"<body><div><p>{story * 2} {i}</p></div>{about}<b>{i}</b></body>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert all(story.strip() in got[i] for i in range(100))
+    assert all(story.strip() in got[100 + i] and "About" not in got[100 + i] for i in range(40))
+
+
+def test_templates_in_elements_of_any_tag_go(spark):
+    menu = "<ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul>"
+    custom = f"<body><site-menu>{menu}</site-menu><div><p>Own <b>bold</b> text {{0}}.</p></div></body>"
+    cells = f"<body><table><tr><td>{menu}</td></tr><tr><td><p>Own <b>bold</b> text {{0}}.</p></td></tr></table></body>"
+    rows = [(i + 100 * n, f"http://h{n}.example/{i}", p.format(i)) for n, p in enumerate((custom, cells)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for row in html.extract(pages).collect():
+        assert row["text"] == f"Own bold text {row['page_id'] % 100}."
+
+
 def plain_ppm(texts: dict, params: ppm.PpmParams) -> dict:
     """Scores by walking down dictionaries of contexts, byte by byte."""
     k_most = params.order
