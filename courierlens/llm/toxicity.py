@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Positives are documents confirmed as toxic; documents without a label are the
-unlabelled text (where every document has one, those not confirmed). A linear
+unlabelled text (filled up with those not confirmed where they are few). A linear
 model over hashed word features is fitted in numpy by minimising
 
     prior * E_pos[l(f)] + max(0, E_unl[l(-f)] - prior * E_pos[l(-f)])
@@ -192,12 +192,15 @@ def fit(documents: DataFrame, labels: DataFrame, params: PuParams = PuParams())
     ).first()
     if not total["positive"] or not total["others"]:
         return PuModel(np.zeros(params.dimensions, np.float32), -30.0 if not total["positive"] else 0.0, params)
-    share = F.when(F.col("positive"), params.most_positive / total["positive"]).otherwise(
-        params.most_unlabelled / (total["bare"] or total["others"])
+    # rows without a label come first; labelled negatives fill the sample up where those are too few
+    negatives = total["others"] - total["bare"]
+    share = (
+        F.when(F.col("positive"), params.most_positive / total["positive"])
+        .when(F.col("bare"), params.most_unlabelled / max(1, total["bare"]))
+        .otherwise(max(0, params.most_unlabelled - total["bare"]) / max(1, negatives))
     )
-    used = F.col("positive") | F.col("bare") if total["bare"] else F.lit(True)
     # about most_positive + most_unlabelled ids at any size of the corpus, so they may be broadcast
-    chosen = learning.filter(used & (F.col("place") < share)).select("doc_id", "positive")
+    chosen = learning.filter(F.col("place") < share).select("doc_id", "positive")
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     sample = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
     rows = sample.select("positive", "text").mapInPandas(_features_of(params), "positive boolean, features binary").collect()
