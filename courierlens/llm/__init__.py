@@ -1,4 +1,4 @@
-"""Training-data operators: ten operators over documents, pages and embeddings, each in its own module.
+"""Training-data operators: thirteen operators over documents, pages, embeddings and conversations, each in its own module.
 
 Nothing else in the library imports this package. ``queries`` holds the
 registered queries and their SQL.

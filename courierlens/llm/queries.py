@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.bpe import encoded_and_decoded
+from courierlens.llm.chat import SQL as CHAT_SQL
+from courierlens.llm.chat import formatted_conversations
 from courierlens.llm.common import table
 from courierlens.llm.cover import near_vectors
 from courierlens.llm.html import extract
@@ -16,9 +18,12 @@ from courierlens.llm.packing import PackParams, added_tokens, pack
 from courierlens.llm.ppm import scores
 from courierlens.llm.quality import quality
 from courierlens.llm.toxicity import toxicity
+from courierlens.llm.trie import SQL as TRIE_SQL
+from courierlens.llm.trie import prefix_trie
 from courierlens.llm.wand import SQL as SEARCH_SQL
 from courierlens.llm.wand import search_own
 from courierlens.llm.warc import archived
+from courierlens.llm.whiten import whitened
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +76,35 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatted_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_byte_bpe, op3_warc, op4_ppm, op5_top_k_search, op6_toxicity, op7_near_duplicates, op8_quality, op9_packing, op10_cover_tree)
+    f.__name__: f
+    for f in (
+        op1_main_text,
+        op2_byte_bpe,
+        op3_warc,
+        op4_ppm,
+        op5_top_k_search,
+        op6_toxicity,
+        op7_near_duplicates,
+        op8_quality,
+        op9_packing,
+        op10_cover_tree,
+        op11_chat_examples,
+        op12_prefix_trie,
+        op13_whitening,
+    )
 }
 
-ORACLES: dict[str, str] = {"op5_top_k_search": SEARCH_SQL}
+ORACLES: dict[str, str] = {"op5_top_k_search": SEARCH_SQL, "op11_chat_examples": CHAT_SQL, "op12_prefix_trie": TRIE_SQL}
