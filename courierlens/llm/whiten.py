@@ -33,8 +33,7 @@ from pyspark.sql import functions as F
 from courierlens.llm.common import written
 
 WHITENED = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
-_PARTIAL = "dim int, i int, j int, high long, low long"
-_BASE = 1 << 32
+_PARTIAL = "dim int, i int, j int, digit int, value long"
 
 
 @dataclass(frozen=True)
@@ -109,18 +108,20 @@ def exact_products(y: np.ndarray) -> np.ndarray:
 
 
 def _rows_of(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Exact integers by length and place, as two longs each so that Spark can add them up."""
+    """Exact integers by length and place, in digits of 32 bits whose sums fit a long; the last digit has the sign."""
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
     for dim, values in sums.items():
         for i, row in enumerate(values):
             # a scatter is symmetric: its upper half is enough
-            first = i if values.shape[0] == values.shape[1] and values.shape[0] > 1 else 0
-            whole = [int(v) for v in row[first:]]
-            columns = [[dim] * len(whole), [i] * len(whole), range(first, len(row))]
-            columns += [[v // _BASE for v in whole], [v % _BASE for v in whole]]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["dim", "i", "j", "high", "low"]
-            )
+            first = i if values.shape[0] == values.shape[1] else 0
+            left, digit = [int(v) for v in row[first:]], 0
+            while digit == 0 or any(left):
+                last = all(-(1 << 31) <= v < 1 << 31 for v in left)
+                part = left if last else [v & 0xFFFFFFFF for v in left]
+                columns = [[dim] * len(part), [i] * len(part), range(first, len(row)), [digit] * len(part), part]
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["dim", "i", "j", "digit", "value"])
+                left, digit = [] if last else [v >> 32 for v in left], digit + 1
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,10 +152,11 @@ def _scatter(centres: dict[int, np.ndarray]) -> Callable:
 
 def totals(partials: DataFrame) -> dict[int, dict[tuple[int, int], int]]:
     """Exact sums of partial rows by length and place; as many as a scatter has entries, whatever the table's size."""
-    summed = partials.groupBy("dim", "i", "j").agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
+    summed = partials.groupBy("dim", "i", "j", "digit").agg(F.sum("value").alias("value"))
     out: dict[int, dict[tuple[int, int], int]] = {}
-    for dim, i, j, high, low in summed.collect():
-        out.setdefault(dim, {})[i, j] = high * _BASE + low
+    for dim, i, j, digit, value in summed.collect():
+        places = out.setdefault(dim, {})
+        places[i, j] = places.get((i, j), 0) + (value << (32 * digit))
     return out
 
 
@@ -189,7 +191,7 @@ def jacobi(factor: np.ndarray, sweeps: int = 60) -> np.ndarray:
         for _ in range(len(ring) - 1):
             pairs = [(p, q) for p, q in zip(ring[: len(ring) // 2], reversed(ring[len(ring) // 2 :])) if max(p, q) < n]
             ring = [ring[0], ring[-1], *ring[1:-1]]
-            p, q = (np.array(side, int) for side in zip(*pairs, strict=True))
+            p, q = np.array(pairs, int).reshape(-1, 2).T
             x, y = a[:, p], a[:, q]
             xx, yy, xy = (x * x).sum(axis=0), (y * y).sum(axis=0), (x * y).sum(axis=0)
             norm = np.sqrt(xx * yy)
