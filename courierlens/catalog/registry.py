@@ -604,9 +604,14 @@ def complete_over_orders(fx: Fixtures) -> DataFrame:
 # --- pipelines ---------------------------------------------------------------------------------
 
 
+def stored_points(fx: Fixtures, domain: int = 1) -> DataFrame:
+    """Points with their order, written once, as pipelines read them several times."""
+    return pl.stage(sp.route_points(fx.points, None, domain, START, END, indexed=False), f"points-{domain}")
+
+
 @query("pipeline_reach", sql.build(sql.BASE + sql.reach("r", "ords", "cl"), sql.completed("ords", "rr")))
 def pipeline_reach(fx: Fixtures) -> DataFrame:
-    return predictions(pl.reach(fx.orders, every_point(fx), 1))
+    return predictions(pl.reach(fx.orders, stored_points(fx), 1))
 
 
 FOOD_BASE = sql.POINTS + sql.RAW_ORDERS + sql.PREDICTIONS + sql.MERCHANT + sql.FOOD_ORDERS.format(**sql.WHOLE).replace("(select r.eid", "(select distinct r.eid")
@@ -617,8 +622,6 @@ def _food(fx: Fixtures, domain: int = 2) -> DataFrame:
     return pl.orders_of(fx.inputs(), domain, START, END)
 
 
-def food_points(fx: Fixtures) -> DataFrame:
-    return sp.route_points(fx.points, None, 2, START, END, indexed=False)
 
 
 @query(
@@ -626,7 +629,7 @@ def food_points(fx: Fixtures) -> DataFrame:
     sql.build(FOOD_BASE + sql.reach("r", "fords", "me"), sql.completed("fords", "rr")),
 )
 def pipeline_reach_to_merchant(fx: Fixtures) -> DataFrame:
-    return predictions(pl.reach_to_merchant(_food(fx), food_points(fx), 2))
+    return predictions(pl.reach_to_merchant(_food(fx), stored_points(fx, 2), 2))
 
 
 @query(
@@ -637,7 +640,7 @@ def pipeline_reach_to_merchant(fx: Fixtures) -> DataFrame:
     ),
 )
 def pipeline_depart(fx: Fixtures) -> DataFrame:
-    return predictions(pl.depart(fx.orders, every_point(fx), 1))
+    return predictions(pl.depart(fx.orders, stored_points(fx), 1))
 
 
 @query(
@@ -647,7 +650,7 @@ def pipeline_depart(fx: Fixtures) -> DataFrame:
     ),
 )
 def pipeline_depart_from_courier_warehouse(fx: Fixtures) -> DataFrame:
-    made = pl.event_predictions("depart_from_courier_warehouse", _food(fx), food_points(fx), 2, fx.courier_domains)
+    made = pl.event_predictions("depart_from_courier_warehouse", _food(fx), stored_points(fx, 2), 2, fx.courier_domains)
     return predictions(made)
 
 
@@ -658,7 +661,7 @@ def pipeline_depart_from_courier_warehouse(fx: Fixtures) -> DataFrame:
     ),
 )
 def pipeline_depart_from_merchant(fx: Fixtures) -> DataFrame:
-    return predictions(pl.event_predictions("depart_from_merchant", _food(fx), food_points(fx), 2, fx.courier_domains))
+    return predictions(pl.event_predictions("depart_from_merchant", _food(fx), stored_points(fx, 2), 2, fx.courier_domains))
 
 
 @query(
@@ -666,7 +669,7 @@ def pipeline_depart_from_merchant(fx: Fixtures) -> DataFrame:
     sql.build(sql.BASE + sql.client_departure("c", "ords", True), sql.completed("ords", "cl")),
 )
 def pipeline_depart_from_client(fx: Fixtures) -> DataFrame:
-    return predictions(pl.depart_from_client(fx.orders, every_point(fx), 1))
+    return predictions(pl.depart_from_client(fx.orders, stored_points(fx), 1))
 
 
 @query(
@@ -680,7 +683,7 @@ def pipeline_depart_from_client(fx: Fixtures) -> DataFrame:
     ),
 )
 def pipeline_deliver(fx: Fixtures) -> DataFrame:
-    return predictions(pl.deliver(fx.orders, every_point(fx), 1))
+    return predictions(pl.deliver(fx.orders, stored_points(fx), 1))
 
 
 ALL_BASE = (
@@ -729,7 +732,7 @@ def pipeline_all(fx: Fixtures) -> DataFrame:
     sql.build(FOOD_BASE + sql.reach("r", "fords", "cl"), sql.completed("fords", "rr")),
 )
 def pipeline_reach_client_merchant_domains(fx: Fixtures) -> DataFrame:
-    return predictions(pl.reach(_food(fx, 6), food_points(fx), 6))
+    return predictions(pl.reach(_food(fx, 6), stored_points(fx, 2), 6))
 
 
 # --- tables ------------------------------------------------------------------------------------

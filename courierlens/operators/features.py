@@ -38,6 +38,8 @@ REACH_COLUMNS = [
     "time_zone",
 ]
 KEY = ["route_id"]
+#: Column of a trace that is null at points with no row of their own; a route of only such points has no rows.
+COMPLETE = "complete"
 
 
 def metres_to(place: str) -> Column:
@@ -86,6 +88,11 @@ def _dwell_across_slices(slices: DataFrame, window: WindowSpec) -> DataFrame:
     )
 
 
+def _own(trace: DataFrame) -> list[str]:
+    """The columns of a trace without the slice it may have been spread by."""
+    return [c for c in trace.columns if c != SLICE]
+
+
 def reach_features(
     trace: DataFrame, place: str, p: EventParams = EventParams(), include_all: bool = False
 ) -> DataFrame:
@@ -162,7 +169,7 @@ def reach_features(
         "distance_bin_group",
         "time_passed_in_bin",
     ]
-    return features.select(*trace.columns, *added)
+    return features.select(*_own(trace), *added)
 
 
 def _step(earlier: Column, later: Column) -> Column:
@@ -183,6 +190,7 @@ def _steps_across_slices(slices: DataFrame, window: WindowSpec) -> DataFrame:
         F.coalesce(F.lag("_second_last").over(window), F.lag("_last", 2).over(window)).alias("head_2"),
         F.lead("_first").over(window).alias("_after"),
         F.sum("_points").over(Window.partitionBy(*KEY)).alias("route_points"),
+        F.sum("_complete").over(Window.partitionBy(*KEY)).alias("route_complete"),
     )
     return linked.withColumns(
         {
@@ -226,9 +234,10 @@ def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventPara
             F.min_by("_point", at).alias("_first"),
             F.max_by("_point", at).alias("_last"),
             F.max_by("_back_1", at).alias("_second_last"),
+            F.count(COMPLETE if COMPLETE in trace.columns else F.lit(1)).alias("_complete"),
         ],
         _steps_across_slices,
-    ).filter(F.col("route_points") >= p.min_points)
+    ).filter((F.col("route_points") >= p.min_points) & (F.col("route_complete") > 0))
     first, second = F.col("_place") == 1, F.col("_place") == 2
 
     def in_place(at_first: str, at_second: str, otherwise: str) -> Column:
@@ -254,7 +263,7 @@ def movement(trace: DataFrame, place: str, name: str, p: EventParams = EventPara
         return (speed(back, way) + speed(here, way) + speed(ahead, way)) / 3
 
     return around.select(
-        *trace.columns,
+        *_own(trace),
         SLICE,
         here["seconds"].alias("tbe"),
         distance,
@@ -296,12 +305,11 @@ def client_departure_features(trace: DataFrame, p: EventParams = EventParams())
     return movement(trace, "client", "client", p)
 
 
-def append_next_route(trace: DataFrame, points: DataFrame, orders: DataFrame, p: EventParams = EventParams()) -> DataFrame:
-    """Lengthen each route of a job by the points of the route that follows it in the job.
+def next_routes(trace: DataFrame, p: EventParams = EventParams()) -> DataFrame:
+    """Pairs (route_id, next_route_id) of the routes that follow each other in a job.
 
-    Routes follow each other by the time of their last point; the added points
-    carry the attributes of the order they are added to. Routes without a job
-    get no tail.
+    ``trace`` has the job, the route and the times of its points. Routes go by
+    the time of their last point; routes without a job have none to follow.
     """
     ends = (
         trace.filter(F.col("delivery_job_oid").isNotNull())
@@ -310,8 +318,30 @@ def append_next_route(trace: DataFrame, points: DataFrame, orders: DataFrame, p:
     )
     sliced = with_slice(ends, "time", p.slice_seconds)
     followed = next_in_key(sliced, ["delivery_job_oid"], ["time", "route_id"], "route_id", "next_route_id")
-    pairs = followed.filter(F.col("next_route_id").isNotNull()).select("route_id", "next_route_id")
-    moved = points.withColumnRenamed("route_id", "next_route_id").join(pairs, "next_route_id").drop("next_route_id")
+    return followed.filter(F.col("next_route_id").isNotNull()).select("route_id", "next_route_id")
+
+
+def _points_of_next(points: DataFrame, pairs: DataFrame) -> DataFrame:
+    return points.withColumnRenamed("route_id", "next_route_id").join(pairs, "next_route_id").drop("next_route_id")
+
+
+def with_next_route(points: DataFrame, orders: DataFrame, p: EventParams = EventParams()) -> DataFrame:
+    """Points, and for each route of a job the points of the route that follows it there.
+
+    Times are brought down to one per route before they meet the orders.
+    """
+    last = points.groupBy("route_id").agg(F.max("time").alias("time"))
+    jobs = orders.select("_id_oid", "delivery_job_oid").distinct()
+    pairs = next_routes(last.join(jobs, last["route_id"] == jobs["_id_oid"]), p)
+    return points.unionByName(_points_of_next(points, pairs))
+
+
+def append_next_route(trace: DataFrame, points: DataFrame, orders: DataFrame, p: EventParams = EventParams()) -> DataFrame:
+    """Lengthen each route of a job by the points of the route that follows it in the job.
+
+    The added points carry the attributes of the order they are added to.
+    """
+    moved = _points_of_next(points, next_routes(trace, p))
     once = orders.distinct()
     tail = moved.join(once, moved["route_id"] == once["_id_oid"], "inner")
     return trace.unionByName(tail, allowMissingColumns=True)

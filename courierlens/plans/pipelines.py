@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.operators.events import (
@@ -20,17 +20,18 @@ from courierlens.operators.events import (
     propagate_first_batch,
 )
 from courierlens.operators.features import (
+    COMPLETE,
     PLACES,
-    append_next_route,
     client_departure_features,
     depart_features,
     reach_features,
+    with_next_route,
 )
 from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
 from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
-from courierlens.sources.points import points_of, spread_trace, window_points
+from courierlens.sources.points import points_of, traces_of, window_points
 
 REACH, REACH_TO_MERCHANT = "reach", "reach_to_merchant"
 DEPART, DEPART_FROM_MERCHANT, DEPART_FROM_COURIER_WAREHOUSE = (
@@ -50,14 +51,9 @@ EVENTS = (
 )
 
 
-def _trace(points: DataFrame, orders: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Join points with just the order attributes an event needs.
-
-    Repeated order rows go before the join, which shuffles by the order id
-    anyway; repeated points stay.
-    """
-    slim = orders.select("_id_oid", *attributes).distinct()
-    return points.join(slim, points["route_id"] == slim["_id_oid"], "inner")
+def _trace(points: DataFrame, orders: DataFrame, attributes: Sequence[str], p: EventParams) -> DataFrame:
+    """Points with just the order attributes an event needs."""
+    return traces_of(points, orders.select("_id_oid", *attributes), p)
 
 
 def reach(
@@ -65,7 +61,7 @@ def reach(
 ) -> DataFrame:
     """When each order's courier reached the client, for every business line."""
     place = "merchant_client" if domain_type in MERCHANT_DOMAINS else "client"
-    trace = _trace(points, orders, ["time_zone", *PLACES[place]])
+    trace = _trace(points, orders, ["time_zone", *PLACES[place]], p)
     return complete_over_orders(orders, first_reach(reach_features(trace, place, p, include_all=True), p))
 
 
@@ -73,10 +69,10 @@ def reach_to_merchant(
     orders: DataFrame, points: DataFrame, domain_type: int, p: EventParams = EventParams()
 ) -> DataFrame:
     """When each food or artisan order's courier reached the merchant; nothing at all without any trace."""
-    trace = _trace(points, orders, ["time_zone", *PLACES["merchant"]])
+    trace = _trace(points, orders, ["time_zone", *PLACES["merchant"]], p)
     features = reach_features(trace, "merchant", p, include_all=True)
     # counted on the shuffle the features read as well, without their windows
-    counts = spread_trace(trace, p).groupBy("route_id").agg(F.count("time").alias("_points"))
+    counts = trace.groupBy("route_id").agg(F.count("time").alias("_points"))
     long_enough = counts.filter(F.col("_points") >= p.min_points)
     return only_if_any(complete_over_orders(orders, first_reach(features, p)), long_enough)
 
@@ -106,7 +102,11 @@ def depart(
     """
     use_onway = domain_type not in MERCHANT_DOMAINS
     whole = orders.na.drop(subset=list(required) if required is not None else None)
-    trace = _trace(points, whole, ["time_zone", *PLACES[source], *(["onway_date"] if use_onway else [])])
+    # a point counts if nothing of it is missing; only that is shuffled of its further columns
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in points.columns])
+    known &= reduce(Column.__and__, [~F.isnan(c) for c, kind in points.dtypes if kind in ("double", "float")])
+    slim = points.select("route_id", "time", "lat", "lon", F.when(known, True).alias(COMPLETE))
+    trace = _trace(slim, whole, ["time_zone", *PLACES[source], *(["onway_date"] if use_onway else [])], p)
     found = first_depart(depart_features(trace, source, p), p, use_onway)
     if domain_type in MARKET_DOMAINS:
         found = propagate_first_batch(found, orders)
@@ -125,9 +125,9 @@ def _client_departure(orders: DataFrame, points: DataFrame, domain_type: int, p:
     attributes = ["time_zone", "reach_date", "deliver_date", *PLACES["client"]]
     if domain_type in MARKET_DOMAINS:
         attributes.append("delivery_job_oid")
-    trace = _trace(points, orders, attributes)
     if domain_type in MARKET_DOMAINS:
-        trace = append_next_route(trace, points, orders.select("_id_oid", *attributes), p)
+        points = with_next_route(points, orders.select("_id_oid", "delivery_job_oid"), p)
+    trace = _trace(points, orders, attributes, p)
     return first_client_departure(client_departure_features(trace, p), p)
 
 

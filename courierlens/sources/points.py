@@ -130,5 +130,22 @@ def flatten_route_docs(docs: DataFrame) -> DataFrame:
 
 
 def spread_trace(trace: DataFrame, p: EventParams = EventParams()) -> DataFrame:
-    """Shuffle a trace once, ready for the windows of ``operators.features``."""
-    return by_slice(with_slice(trace, "time", p.slice_seconds), ["route_id"])
+    """Shuffle a trace once, ready for the windows of ``operators.features``; one that already is stays as it is."""
+    return trace if SLICE in trace.columns else by_slice(with_slice(trace, "time", p.slice_seconds), ["route_id"])
+
+
+def traces_of(points: DataFrame, orders: DataFrame, p: EventParams = EventParams()) -> DataFrame:
+    """Points with the attributes of their order, as ``spread_trace`` leaves them.
+
+    The points are shuffled once, by route and slice. Not they but the orders
+    go to where the join is: an order is repeated for every slice its route
+    has points in, so a route with a third of all points is joined in as many
+    tasks as it has slices, and the windows behind need no further shuffle.
+    Repeated orders count once, repeated points stay. The points are read
+    twice, once for their slices only; hand over a stored table.
+    """
+    sliced = with_slice(points, "time", p.slice_seconds)
+    held = sliced.select("route_id", SLICE).distinct()
+    once = orders.distinct()
+    placed = held.join(once, held["route_id"] == once["_id_oid"])
+    return by_slice(sliced, ["route_id"]).join(placed, ["route_id", SLICE])

@@ -9,9 +9,10 @@ import pytest
 from courierlens.catalog.fixtures import END, START, fixtures
 from courierlens.catalog.registry import QUERIES
 from courierlens.operators.tables import keep_latest
+from courierlens.params import EventParams
 from courierlens.plans import pipelines as pl
 from courierlens.sources import orders as so
-from courierlens.sources.points import route_points
+from courierlens.sources.points import route_points, traces_of
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -60,12 +61,39 @@ def test_order_filters_reach_the_scan(spark, fx, tmp_path):
     assert all("cancel_date" not in scan for scan in read)
 
 
-def test_trace_is_shuffled_once_by_route(fx):
-    """Rows and slice summaries read one exchange; every window runs behind it."""
+def other_point_shuffles(df) -> list[str]:
+    """Exchanges that carry the place of every point and are not by route and slice."""
+    plan = first_plan(df).split("== Initial Plan ==")[0]
+    bare = r"Exchange hashpartitioning\(route_id#\d+, \d+\)"
+    lines = plan.splitlines()
+    found = [(i, line) for i, line in enumerate(lines) if re.search(bare, line) and "Reused" not in line]
+    # what is shuffled by route alone has been brought down to one row per slice
+    return [line for i, line in found if not any("Aggregate" in below for below in lines[i + 1 : i + 4])]
+
+
+def test_trace_is_shuffled_once_by_route(spark, fx):
+    """The join, the rows and the slice summaries read one exchange; every window runs behind it."""
     points = pl.stage(route_points(fx.points, None, 1, START, END, indexed=False), "plan-points")
-    assert shuffles_by_route(pl.reach(fx.orders, points, 1)) == (1, 1)
-    assert shuffles_by_route(pl.depart(fx.orders, points, 1)) == (1, 1)
-    assert shuffles_by_route(pl.depart_from_client(fx.orders, points, 4)) == (1, 1)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with tables that are too large for it
+    try:
+        for made in (pl.reach(fx.orders, points, 1), pl.depart(fx.orders, points, 1), pl.depart_from_client(fx.orders, points, 4)):
+            assert shuffles_by_route(made) == (1, 1)
+            assert other_point_shuffles(made) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_a_hot_route_is_joined_in_many_tasks(spark):
+    """Orders go to the slices of their route, so no task joins more of a route than one slice."""
+    from traces import trace_frame
+
+    hot = [(i * 1_000_000, 41.0, 29.0, "hot") for i in range(3000)]
+    points = trace_frame(spark, {"hot": hot}).select("route_id", "time", "lat", "lon")
+    orders = spark.createDataFrame([("hot", 1), ("hot", 1), ("other", 2)], "_id_oid string, mark int")
+    trace = traces_of(points, orders, EventParams(slice_seconds=60))
+    assert trace.count() == 3000
+    assert trace.groupBy("route_id", "slice").count().agg({"count": "max"}).first()[0] <= 60
 
 
 def test_latest_row_is_limited_before_the_shuffle(fx):
