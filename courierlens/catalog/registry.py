@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from courierlens.catalog import oracles as sql
 from courierlens.catalog.fixtures import END, START, Fixtures, fixtures
+from courierlens.contracts import DEDUPLICATED_TABLES, EVENT_SHAPES, PREDICTION_TABLES, table_of
 from courierlens.functions.geo import distance_bin
 from courierlens.functions.rules import decide, to_local
 from courierlens.operators import events as ev
@@ -18,10 +20,12 @@ from courierlens.operators import features as ft
 from courierlens.operators import rfm, tables, trace, windows
 from courierlens.params import DEPART_INTERCEPT, DEPART_WEIGHTS, REACH_INTERCEPT, REACH_WEIGHTS, RfmParams
 from courierlens.plans import pipelines as pl
+from courierlens.plans import run
 from courierlens.session import shared_dir
 from courierlens.sources import orders as so
 from courierlens.sources import points as sp
 from courierlens.sources import samples
+from courierlens.sources.store import PredictionStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -897,6 +901,95 @@ def depart_batches(fx: Fixtures) -> DataFrame:
     )
 
 
+# --- a run, from windows to corrected tables ---------------------------------------------------
+
+MINUTE = 60_000_000
+RUN_WINDOWS = [("2024-01-01 00:00:00", "2024-01-01 00:40:00"), ("2024-01-01 00:30:00", "2024-01-01 02:00:00")]
+RUN_BOUNDS = [{"start": sql.EPOCH, "end": sql.EPOCH + 40 * MINUTE}, {"start": sql.EPOCH + 30 * MINUTE, "end": sql.EPOCH + 120 * MINUTE}]
+TABLE_ROWS = ", ".join(f"({d}, '{e}', '{name}')" for (e, d), (name, _) in PREDICTION_TABLES.items())
+DEDUPLICATED = ", ".join(f"'{name}'" for name in DEDUPLICATED_TABLES)
+NO_PREDICTIONS = "(select cast(null as varchar) as order_id, cast(null as bigint) as date_us where false)"
+
+
+def _window_ctes(number: int, bounds: dict[str, int], ctes: str) -> str:
+    """The CTEs of ``pipeline_all`` for one window, their names numbered, with ``food_made`` and ``water_made`` before them."""
+    water = sql.WATER_ORDERS.format(**bounds).replace("(select r.*", "(select distinct r.*").replace("made", "water_made")
+    food = sql.FOOD_ORDERS.format(**bounds).replace("(select r.eid", "(select distinct r.eid").replace("made", "food_made")
+    text = food + OWN + sql.MARKET_ORDERS.format(**bounds) + water + ctes + f"\nall_made as ({ALL_UNION}),\n"
+    names = {*re.findall(r"^(\w+) as \(", text, re.MULTILINE), "food_made", "water_made"}
+    return re.sub(rf"\b({'|'.join(sorted(names))})\b", rf"\1_{number}", text)
+
+
+def _kept(rows: str) -> str:
+    said = f"case when tbl not in ({DEDUPLICATED}) then struct_pack(a := date_us, b := local_us, c := lat, d := lon) end"
+    return f"(select * from {rows} qualify row_number() over (partition by tbl, order_id, {said} order by id desc) = 1)"
+
+
+def _run_sql() -> str:
+    events = ALL_CTES.removeprefix(ALL_BASE)
+    ctes = sql.POINTS + sql.RAW_ORDERS + sql.MERCHANT + f"names(domain_type, event, tbl) as (values {TABLE_ROWS}),\n"
+    stored = ""
+    for number, bounds in enumerate(RUN_BOUNDS, 1):
+        for made, table in (("food_made", "reach_to_restaurant_date_prediction"), ("water_made", "water_depart_date_prediction")):
+            rows = f"(select order_id, date_us from {stored} where tbl = '{table}')" if stored else NO_PREDICTIONS
+            ctes += f"{made}_{number} as {rows},\n"
+        ctes += _window_ctes(number, bounds, events)
+        order = "tbl, order_id, time_us nulls first, lat nulls first, lon nulls first, local_us nulls first"
+        start = f"(select max(id) + 1 from {stored})" if stored else "0"
+        ctes += f"""new_{number} as (select tbl, order_id, time_us as date_us, local_us, lat, lon,
+          cast(row_number() over (order by {order}) - 1 + {start} as bigint) as id
+          from all_made_{number} join names using (domain_type, event)),\n"""
+        both = f"(select * from {stored} union all select * from new_{number})" if stored else f"new_{number}"
+        stored = f"stored_{number}"
+        ctes += f"{stored} as {_kept(both)},\n"
+    return sql.build(ctes, f"select tbl as table_name, id as prediction_id, order_id, date_us, local_us, lat, lon from {stored}")
+
+
+def _new_store(fx: Fixtures) -> PredictionStore:
+    return PredictionStore(fx.spark, f"{shared_dir(fx.spark)}/store-{uuid.uuid4().hex}")
+
+
+@query("publish_run", _run_sql())
+def publish_run(fx: Fixtures) -> DataFrame:
+    """Two overlapping windows, the second one knowing what the first has published, read back table by table."""
+    store = _new_store(fx)
+    run.publish_run(store, fx.inputs(), RUN_WINDOWS)
+    parts = []
+    for (event, domain_type), (name, shape) in PREDICTION_TABLES.items():
+        rows = store.table(event, domain_type)
+        date, date_l = EVENT_SHAPES[shape]
+        parts.append(
+            rows.select(
+                F.lit(name).alias("table_name"),
+                "prediction_id",
+                "order_id",
+                us(date, "date_us"),
+                us(date_l, "local_us"),
+                F.col("latitude").alias("lat"),
+                F.col("longitude").alias("lon"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("nightly_correction", ORACLES["depart_batches"])
+def nightly_correction(fx: Fixtures) -> DataFrame:
+    """The departure table after the day's jobs were aligned; parts without a correction stay as they are."""
+    store = _new_store(fx)
+    name, _ = table_of("depart", 1)
+    made = fx.job_predictions.withColumnsRenamed({"predicted_depart_date": "date", "predicted_depart_dateL": "date_l"})
+    store.commit(made.withColumns({"table": F.lit(name), "bucket": store.bucket()}))
+    run.nightly_correction(store, fx.raw_orders, PART_START, PART_END)
+    return store.table("depart", 1).select(
+        "prediction_id",
+        "order_id",
+        us("predicted_depart_date", "depart_us"),
+        us("predicted_depart_dateL", "depart_local_us"),
+        "latitude",
+        "longitude",
+    )
+
+
 # --- customer segments -------------------------------------------------------------------------
 
 VALUES_SQL = sql.rfm_values(

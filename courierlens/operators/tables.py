@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from courierlens.contracts import prediction_schema, staged_columns, staged_schema
 from courierlens.operators.events import PREDICTION_COLUMNS
 from courierlens.params import FINISHED_STATUSES, MARKET_DOMAINS
+from courierlens.session import stage
+from courierlens.sources.orders import with_job
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -25,12 +27,34 @@ def write_predictions(predictions: DataFrame, shape: str, path: str, mode: str =
     as_staged(predictions, shape).write.mode(mode).options(sep="|", header=True, timestampFormat=TIME_FORMAT).csv(path)
 
 
+def dense_ids(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> DataFrame:
+    """Number the rows by some columns from ``start`` on without gaps.
+
+    The rows are range-partitioned by that order and written with their task
+    and their place in it, so later reads give the same numbers whatever
+    becomes of executors. What is summed up over all tasks is one count each.
+    """
+    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stage(in_order.withColumns({"_task": F.spark_partition_id(), "_place": place}), "numbered")
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_task")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    # one row per task of the load
+    numbered = placed.join(F.broadcast(offsets), "_task")
+    return numbered.withColumn(out, F.col("_before") + F.col("_place") + F.lit(start).cast("long")).drop("_task", "_place", "_before")
+
+
 def load_staged(
     spark: SparkSession, path: str, shape: str, existing: DataFrame | None = None
 ) -> DataFrame:
     """Files below ``path`` as table rows after the ``existing`` ones, with new ids and the load time.
 
-    New ids are unique and larger than every existing one; they have gaps.
+    New ids go on from the highest existing one without gaps, in order of the
+    rows' values.
     """
     files = (
         spark.read.schema(staged_schema(shape))
@@ -41,8 +65,8 @@ def load_staged(
     if existing is not None:
         highest = existing.agg(F.max("prediction_id")).first()[0]
         start = 0 if highest is None else highest + 1
-    loaded = files.select(
-        (F.monotonically_increasing_id() + F.lit(start)).alias("prediction_id"),
+    loaded = dense_ids(files, staged_columns(shape), "prediction_id", start).select(
+        "prediction_id",
         *staged_columns(shape),
         F.current_timestamp().alias("predictedat"),
     )
@@ -86,12 +110,14 @@ def apply_updates(target: DataFrame, updates: DataFrame, key: str, columns: Sequ
     )
 
 
-def batch_corrections(orders: DataFrame, predictions: DataFrame, start: str, end: str) -> DataFrame:
+def batch_corrections(
+    orders: DataFrame, predictions: DataFrame, start: str, end: str, jobless_together: bool = True
+) -> DataFrame:
     """Orders of a multi-order job whose departure differs from the latest one of the job.
 
     Both date columns get the job's latest UTC departure; the place stays the
     order's own. All finished market orders of the window count, and those
-    without a job count as one job.
+    without a job count as one job, or with ``jobless_together=False`` as none.
     """
     shown = predictions.select(
         F.col("order_id").alias("_predicted_id"), "predicted_depart_date", "latitude", "longitude"
@@ -106,8 +132,10 @@ def batch_corrections(orders: DataFrame, predictions: DataFrame, start: str, end
         F.max("predicted_depart_date").alias("job_depart"), F.max("delivery_batch_index").alias("max_index")
     )
     late = jobs.filter((F.col("max_index") > 1) & F.col("job_depart").isNotNull())
+    if not jobless_together:
+        late = late.filter("_job is not null")
     return (
-        shown.join(late, shown["delivery_job_oid"].eqNullSafe(late["_job"]), "inner")
+        with_job(shown, late)
         .filter(F.col("predicted_depart_date") != F.col("job_depart"))
         .select(
             F.col("_id_oid").alias("order_id"),
@@ -120,23 +148,36 @@ def batch_corrections(orders: DataFrame, predictions: DataFrame, start: str, end
     )
 
 
-def align_batches(orders: DataFrame, predictions: DataFrame, start: str, end: str) -> DataFrame:
-    """Prediction table with the corrections of ``batch_corrections`` applied where the date differs.
+def job_corrections(orders: DataFrame, predictions: DataFrame, start: str, end: str) -> DataFrame:
+    """One correction per order: ``order_id``, ``fixed_date``, ``fixed_latitude`` and ``fixed_longitude``.
 
     An order with several prediction rows can have several corrections that
     differ in place only; the smallest place is taken.
     """
-    columns = ["predicted_depart_date", "predicted_depart_dateL", "latitude", "longitude"]
-    fixes = (
+    place = F.struct("predicted_depart_date", "latitude", "longitude")
+    return (
         batch_corrections(orders, predictions, start, end)
         .groupBy("order_id")
-        .agg(F.min(F.struct(*columns)).alias("_fix"))
+        .agg(F.min(place).alias("_fix"))
+        .select(
+            "order_id",
+            F.col("_fix.predicted_depart_date").alias("fixed_date"),
+            F.col("_fix.latitude").alias("fixed_latitude"),
+            F.col("_fix.longitude").alias("fixed_longitude"),
+        )
     )
-    joined = predictions.join(fixes, "order_id", "left")
-    differs = F.col("predicted_depart_date") != F.col("_fix.predicted_depart_date")
+
+
+def align_batches(orders: DataFrame, predictions: DataFrame, start: str, end: str) -> DataFrame:
+    """Prediction table with the corrections of ``batch_corrections`` applied where the date differs."""
+    fixed = {
+        "predicted_depart_date": "fixed_date",
+        "predicted_depart_dateL": "fixed_date",
+        "latitude": "fixed_latitude",
+        "longitude": "fixed_longitude",
+    }
+    joined = predictions.join(job_corrections(orders, predictions, start, end), "order_id", "left")
+    differs = F.col("predicted_depart_date") != F.col("fixed_date")
     return joined.select(
-        *[
-            F.when(differs, F.col("_fix")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
-            for c in predictions.columns
-        ]
+        *[F.when(differs, F.col(fixed[c])).otherwise(F.col(c)).alias(c) if c in fixed else F.col(c) for c in predictions.columns]
     )

@@ -32,7 +32,8 @@ class EventParams:
 
     ``slice_seconds`` is the time slice a long trace or a busy courier is cut
     into before windows run over it (see ``operators.slices``): no task ever
-    holds more of one key than one slice of it.
+    holds more of one key than one slice of it. ``parallel_jobs`` is how many
+    independent events of a run are computed side by side.
     """
 
     reach_intercept: float = REACH_INTERCEPT
@@ -48,6 +49,7 @@ class EventParams:
     max_client_metres: float = MAX_CLIENT_METRES
     client_hold_seconds: int = CLIENT_HOLD_SECONDS
     slice_seconds: int = 600
+    parallel_jobs: int = 4
 
 
 @dataclass(frozen=True)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,12 @@ from courierlens.operators.features import (
     reach_features,
     with_next_route,
 )
+from courierlens.operators.reducer import keep_possible
 from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
 from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
-from courierlens.sources.points import points_of, traces_of, window_points
+from courierlens.sources.points import id_column_of, points_of, traces_of, window_points
 
 REACH, REACH_TO_MERCHANT = "reach", "reach_to_merchant"
 DEPART, DEPART_FROM_MERCHANT, DEPART_FROM_COURIER_WAREHOUSE = (
@@ -232,32 +234,54 @@ def event_predictions(
     return plan[event](orders, points, domain_type, p)
 
 
-def line_events(
+def at_once(tasks: Sequence[Callable[[], DataFrame]], p: EventParams) -> list[DataFrame]:
+    """Results of independent small jobs; Spark runs up to ``parallel_jobs`` of them side by side."""
+    with ThreadPoolExecutor(p.parallel_jobs) as pool:
+        return list(pool.map(lambda task: task(), tasks))
+
+
+def lines_events(
     events: Iterable[str],
-    orders: DataFrame,
-    points: DataFrame,
-    domain_type: int,
+    lines: dict[int, tuple[DataFrame, DataFrame]],
     courier_domains: DataFrame | None = None,
     p: EventParams = EventParams(),
-) -> dict[str, DataFrame]:
-    """Staged predictions of the asked events of one business line.
+) -> dict[int, dict[str, DataFrame]]:
+    """Staged predictions of the asked events by business line, from the (orders, points) of each.
 
     Each event is a job of its own whose small result is written, so plans
     stay small, and a delivery is put together from the two written events it
     needs, which are made if nobody asked for them.
     """
-    made: dict[str, DataFrame] = {}
+    asked = list(events)
+    wanted = {domain: events_for(asked, domain) for domain in lines}
+    first = []
+    for domain, names in wanted.items():
+        needed = [*names, *([REACH, DEPART_FROM_CLIENT] if DELIVER in names else [])]
+        first += [(domain, event) for event in dict.fromkeys(needed) if event != DELIVER]
+
+    def predict(domain: int, event: str) -> DataFrame:
+        orders, points = lines[domain]
+        return stage(event_predictions(event, orders, points, domain, courier_domains, p), f"{event}-{domain}")
 
-    def result(event: str) -> DataFrame:
-        if event not in made:
-            if event == DELIVER:
-                found = delivery_midpoint(one_per_order(result(REACH)), result(DEPART_FROM_CLIENT))
-            else:
-                found = event_predictions(event, orders, points, domain_type, courier_domains, p)
-            made[event] = stage(found, f"{event}-{domain_type}")
-        return made[event]
+    def halfway(domain: int) -> DataFrame:
+        return stage(delivery_midpoint(one_per_order(made[domain, REACH]), made[domain, DEPART_FROM_CLIENT]), f"{DELIVER}-{domain}")
 
-    return {event: result(event) for event in events_for(events, domain_type)}
+    made = dict(zip(first, at_once([partial(predict, *key) for key in first], p), strict=True))
+    last = [domain for domain, names in wanted.items() if DELIVER in names]
+    made |= dict(zip([(domain, DELIVER) for domain in last], at_once([partial(halfway, d) for d in last], p), strict=True))
+    return {domain: {event: made[domain, event] for event in names} for domain, names in wanted.items()}
+
+
+def line_events(
+    events: Iterable[str],
+    orders: DataFrame,
+    points: DataFrame,
+    domain_type: int,
+    courier_domains: DataFrame | None = None,
+    p: EventParams = EventParams(),
+) -> dict[str, DataFrame]:
+    """``lines_events`` of one business line."""
+    return lines_events(events, {domain_type: (orders, points)}, courier_domains, p)[domain_type]
 
 
 def tagged(made: dict[str, DataFrame], domain_type: int) -> list[DataFrame]:
@@ -278,17 +302,24 @@ def all_events(
 ) -> DataFrame:
     """Predictions of all asked events and business lines of a window in one frame.
 
-    The points are attributed to the orders of all business lines in one pass,
-    and that table and the orders are staged, as every event reads them.
+    The orders come first. The points are attributed to the orders of all
+    business lines in one pass, and of them only what may belong to one of
+    these orders is written, as every event reads it.
     """
     asked = list(events)
     lines = [d for d in domain_types if events_for(asked, d)]
     if not lines:
         raise ValueError("none of the asked events exists for the asked business lines")
-    attributed = stage(window_points(inputs.points, lines, start, end, p), "points")
-    parts = []
+
+    def line_orders(domain_type: int) -> DataFrame:
+        return stage(orders_of(inputs, domain_type, start, end, courier_ids), f"orders-{domain_type}")
+
+    orders = dict(zip(lines, at_once([partial(line_orders, d) for d in lines], p), strict=True))
+    wanted: dict[str, DataFrame] = {}
     for domain_type in lines:
-        orders = stage(orders_of(inputs, domain_type, start, end, courier_ids), f"orders-{domain_type}")
-        points = points_of(attributed, domain_type)
-        parts += tagged(line_events(asked, orders, points, domain_type, inputs.courier_domains, p), domain_type)
-    return reduce(DataFrame.unionByName, parts)
+        column = f"{id_column_of(domain_type)}_filled"
+        ids = orders[domain_type].select("_id_oid")
+        wanted[column] = wanted[column].unionAll(ids) if column in wanted else ids
+    attributed = stage(keep_possible(window_points(inputs.points, lines, start, end, p), wanted), "points")
+    made = lines_events(asked, {d: (orders[d], points_of(attributed, d)) for d in lines}, inputs.courier_domains, p)
+    return reduce(DataFrame.unionByName, [part for d in lines for part in tagged(made[d], d)])

@@ -8,10 +8,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courierlens.operators.reducer import keep_possible
 from courierlens.operators.trace import filter_by_ids, only_unpredicted, pivot_status_log
 from courierlens.params import DEFAULT_ZONE, FINISHED_STATUSES, MARKET_DOMAINS, WATER
 
 MARGIN_HOURS = 1
+# Columns of a market or water order.
 MARKET_COLUMNS = [
     "delivery_route_oid",
     "_id_oid",
@@ -56,17 +58,31 @@ def job_dates(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_job(rows: DataFrame, jobs: DataFrame, column: str = "delivery_job_oid") -> DataFrame:
+    """Rows with what ``jobs`` (``_job`` and more) says of their job; rows without a job meet the row without one.
+
+    That row is one at most, as ``jobs`` is a grouping by job, so it is
+    broadcast to its rows; they are never one key of a shuffled join.
+    """
+    alone = F.broadcast(jobs.filter("_job is null").limit(1))
+    named = rows.filter(F.col(column).isNotNull()).join(jobs, F.col(column) == F.col("_job"))
+    return named.unionByName(rows.filter(F.col(column).isNull()).join(alone, F.col(column).eqNullSafe(F.col("_job"))))
+
+
 def market_orders(
     orders: DataFrame,
     zones: DataFrame,
     start: str,
     end: str,
     courier_ids: Sequence[str] | DataFrame | None = None,
+    jobless_together: bool = True,
 ) -> DataFrame:
     """Finished market orders whose whole job was delivered within the window.
 
     Orders are read with a margin around the window, so the dates of a job
     that straddles its edge are complete before the job is tested against it.
+    Orders without a job are one job, or with ``jobless_together=False`` each
+    a job of its own.
     """
     margin = timedelta(hours=MARGIN_HOURS)
     first, last = datetime.fromisoformat(start) - margin, datetime.fromisoformat(end) + margin
@@ -76,8 +92,13 @@ def market_orders(
         & F.col("domaintype").isin(*MARKET_DOMAINS)
     )
     finished = filter_by_ids(finished, "courier_courier_oid", courier_ids)
-    jobs = job_dates(finished).filter(_between("max_deliver_date", start, end))
-    in_window = finished.join(jobs, F.col("delivery_job_oid").eqNullSafe(F.col("_job")), "inner")
+    jobs = job_dates(finished if jobless_together else finished.filter(F.col("delivery_job_oid").isNotNull()))
+    in_window = with_job(finished, jobs.filter(_between("max_deliver_date", start, end)))
+    if not jobless_together:
+        own = finished.filter(F.col("delivery_job_oid").isNull() & _between("deliver_date", start, end)).withColumns(
+            {"job_onway": F.col("onway_date"), "job_handover": F.col("handover_date"), "max_deliver_date": F.col("deliver_date")}
+        )
+        in_window = in_window.unionByName(own, allowMissingColumns=True)
     return (
         _with_zone(in_window, zones)
         .withColumn("onway_date", F.col("job_onway"))
@@ -126,7 +147,8 @@ def merchant_orders(
     """Finished food (2) or artisan (6) orders of the window not yet predicted to reach the merchant.
 
     With ``courier_domains`` an order is repeated for each business line of
-    its courier; pipelines leave it out and use ``with_courier_domain``.
+    its courier; pipelines leave it out and use ``with_courier_domain``. Of
+    the status log only what may belong to the window's orders is shuffled.
     ``repeat`` is that of ``only_unpredicted``.
     """
     finished = orders.filter(
@@ -144,7 +166,7 @@ def merchant_orders(
         ),
         "warehouse",
     )
-    logged = pivot_status_log(status_log)
+    logged = pivot_status_log(keep_possible(status_log, {"data_foodorder": finished.select("_id_oid")}))
     joined = waiting.join(logged, waiting["_id_oid"] == logged["status_order_id"], "left").join(
         places, "courier_oid", "left"
     )
