@@ -303,13 +303,14 @@ def rfm_ranks(check: str) -> str:
 fin as (select l_orderkey as order_id, cast(sum(cast(floor(l_extendedprice * (1 - l_discount) * 100) as bigint)) as double) as net,
         cast(sum(cast(floor(l_extendedprice * l_tax * 100) as bigint)) as double) as margin,
         cast(sum(cast(floor(l_quantity * 100) as bigint)) as double) as anm from lineitem group by l_orderkey),
-ro as (select o_orderkey as id, o_custkey as client, o_orderdate as checkout_date, net, margin, anm,
+rc as (select *, case when o_custkey % 50 <> 7 then 'c' || cast(o_custkey as varchar) end as client from orders),
+ro as (select o_orderkey as id, client, o_orderdate as checkout_date, net, margin, anm,
        'type' || cast(o_orderkey % 2 as varchar) as device_type, 'maker' || cast(o_orderkey % 3 as varchar) as maker,
        'model' || cast(o_orderkey % 5 as varchar) as model, o_orderpriority as store,
        300 + o_orderkey % 900 as h,
-       row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as y,
-       row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as t
-       from orders join fin on o_orderkey = order_id
+       row_number() over (partition by client order by o_orderdate desc, o_orderkey desc) as y,
+       row_number() over (partition by client order by o_orderdate, o_orderkey) as t
+       from rc join fin on o_orderkey = order_id
        where o_orderstatus in ('F', 'O') and cast(o_orderdate as date) <= date '{check}'),
 """
 
@@ -343,7 +344,7 @@ rg as (select client, r_value, t_value, case when r_value <= {churn} then money
 
 def rfm_segments() -> str:
     def tile(name: str, value: str, order: str) -> str:
-        return f"ntile(4) over (partition by is_recent order by {value} {order}, client) as {name}"
+        return f"ntile(4) over (partition by is_recent order by {value} {order}, client nulls first) as {name}"
 
     tiles = ", ".join(
         [

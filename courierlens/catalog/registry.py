@@ -1075,7 +1075,20 @@ def rfm_values(fx: Fixtures) -> DataFrame:
     ),
 )
 def rfm_segments(fx: Fixtures) -> DataFrame:
+    return _segments_out(rfm.rfm_segments(fx.rfm_orders, fx.rfm_financials, RP))
+
+
+@query("rfm_segment_table", ORACLES["rfm_segments"])
+def rfm_segment_table(fx: Fixtures) -> DataFrame:
+    """The segments as a table that is written twice, the second time in place of the first."""
+    name = f"segments_{uuid.uuid4().hex}"
+    path = f"{shared_dir(fx.spark)}/{name}"
     segments = rfm.rfm_segments(fx.rfm_orders, fx.rfm_financials, RP)
+    rfm.save_segments(segments.limit(0), name, path)
+    return _segments_out(rfm.save_segments(segments, name, path))
+
+
+def _segments_out(segments: DataFrame) -> DataFrame:
     return segments.select(
         *[F.col(c).alias(n) for c, n in RENAMED.items()],
         *[F.col(c).alias(c.replace("Class", "_class")) for c in rfm.CLASSES],

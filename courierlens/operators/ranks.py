@@ -1,119 +1,69 @@
-"""Exact ranks over a whole table without putting the table in one task.
-
-``ntile`` and exact quantiles need the row at a given rank of a global order.
-A window without a small partition key would sort everything in one task, so
-the order is cut at a bounded number of splitters taken from an approximate
-quantile sketch. A value that equals a splitter gets a bucket of its own,
-which is cut again by a tie column; thus a value shared by a third of all rows
-is still spread. Rows per bucket are counted with map-side combine, the counts
-tell which few buckets hold the wanted ranks, and only the rows of those are
-numbered. Splitters and wanted rows are the only things that pass through the
-driver, and both are bounded by parameters.
+"""Exact ranks over a whole table, or over groups of any size, without putting either in one task.
+
+A window over a table or a large group sorts it in one task. Here the rows are
+range-partitioned by group and order, sorted inside their tasks and written
+with their task and their place in it. How many rows of a group lie in earlier
+tasks follows from one count per group and task, so a group that holds a third
+of all rows is numbered by as many tasks as it fills, whatever the type of its
+values. Nothing passes through the driver but the few values asked for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTERS = 128
-SMALL_BUCKET = 1_000_000
+from courierlens.operators.slices import whole
+from courierlens.session import stage
 
 
-def splitters(df: DataFrame, columns: Sequence[str], count: int = SPLITTERS) -> dict[str, list]:
-    """At most ``count`` distinct values per column that cut it into similar parts."""
-    shares = [i / (count + 1) for i in range(1, count + 1)]
-    row = df.agg(*[F.percentile_approx(c, shares, count * 40).alias(c) for c in columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+def in_tasks(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Rows in order over all tasks, written with ``_task`` and ``_place``, both from zero.
 
-
-def _constant_array(values: Sequence) -> Column:
-    """One array literal, however many values it has; numbers only."""
-    kind = "double" if any(isinstance(v, float) for v in values) else "bigint"
-    text = ",".join(repr(v).replace("inf", "Infinity") for v in values)
-    return F.split(F.lit(text), ",").cast(f"array<{kind}>")
-
-
-def bucket_of(column: Column, cuts: Sequence) -> Column:
-    """Bucket of a value: even between two splitters, odd on a splitter itself."""
-    if not cuts:
-        return F.lit(0)
-    values = _constant_array(cuts)
-    below = F.size(F.filter(values, lambda cut: cut < column))
-    return below * 2 + F.array_contains(values, column).cast("int")
+    Once written the numbers stay, whatever becomes of executors. ``parts``
+    sets the number of tasks; by default the session does.
+    """
+    spread = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = spread.sortWithinPartitions(*order)
+    return stage(ordered.withColumns({"_task": F.spark_partition_id(), "_place": place}), "ordered")
 
 
-def rows_at_ranks(
-    df: DataFrame,
-    group: str,
-    metric: str,
-    value: str,
-    tie: str,
-    ranks: Column,
-    tie_cuts: Sequence = (),
+def numbered(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, total: str | None = None, parts: int | None = None
 ) -> DataFrame:
-    """(group, metric, k, value, tie) of the rows at the wanted ranks of each (group, metric).
-
-    ``ranks`` is an array expression over ``_total``, the rows of the group;
-    ``k`` is the place in that array. The input holds its bucket in
-    ``_bucket``; ``tie_cuts`` split buckets made of one value.
-    """
-    own_value = F.col("_bucket") % 2 == 1
-    tie_bucket = F.when(own_value, bucket_of(F.col(tie), tie_cuts)).otherwise(F.lit(0))
-    placed = df.withColumn("_sub", tie_bucket)
-    key = [group, metric]
-    counts = placed.groupBy(*key, "_bucket", "_sub").agg(F.count(F.lit(1)).alias("_rows"))
-    order = Window.partitionBy(*key).orderBy("_bucket", "_sub")
-    wanted = (
-        counts.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*key)))
-        .select("*", F.posexplode(ranks).alias("k", "_rank"))
-        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_rows")))
-        .select(*key, "_bucket", "_sub", "k", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("_place"))
+    """1-based position of each row in its group, and on request the group's size; rows without a group are one."""
+    placed = in_tasks(df, [*group, *order], parts).withColumn("_group", whole(*group))
+    segments = placed.groupBy("_task", "_group").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    tasks = Window.partitionBy("_group").orderBy("_task")
+    earlier = F.coalesce(F.sum("_rows").over(tasks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = segments.select(
+        "_task", "_group", (earlier - F.col("_first") + 1).alias("_shift"), F.sum("_rows").over(Window.partitionBy("_group")).alias("_size")
     )
-    inside = Window.partitionBy(*key, "_bucket", "_sub").orderBy(value, tie)
-    holding = placed.join(wanted.select(*key, "_bucket", "_sub").distinct(), [*key, "_bucket", "_sub"], "left_semi")
-    numbered = holding.withColumn("_place", F.row_number().over(inside))
-    return numbered.join(wanted, [*key, "_bucket", "_sub", "_place"]).select(*key, "k", value, tie)
-
-
-def values_at_ranks(rows: DataFrame, column: str, ranks: Sequence[int], limit: int = SMALL_BUCKET) -> dict[int, float]:
-    """Values at 1-based ranks of an ascending order.
-
-    Each pass counts the rows between splitters and goes on with the few
-    buckets that hold a wanted rank, so a table of any size shrinks to
-    ``limit`` rows within a few passes.
-    """
-    cuts = splitters(rows, [column])[column]
-    counts = (
-        rows.groupBy(bucket_of(F.col(column), cuts).alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high"))
-        .orderBy("_bucket")
-        .collect()  # at most two rows per splitter and one
+    joined = placed.join(offsets, ["_task", "_group"]).withColumn(out, F.col("_place") + F.col("_shift"))
+    if total:
+        joined = joined.withColumn(total, F.col("_size"))
+    return joined.drop("_task", "_place", "_group", "_shift", "_size")
+
+
+def values_at_ranks(rows: DataFrame, column: str, ranks: Sequence[int], parts: int | None = None) -> dict[int, float]:
+    """Values at 1-based ranks of an ascending order; equal values are one row with a count before any sort."""
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    placed = in_tasks(counts, [column], parts)
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_task")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    found: dict[int, float] = {}
-    passed = 0
-    for bucket in counts:
-        inside = [r for r in ranks if passed < r <= passed + bucket["rows"]]
-        places = {r - passed: r for r in inside}
-        passed += bucket["rows"]
-        if not inside:
-            continue
-        if bucket["low"] == bucket["high"]:
-            found.update({r: bucket["low"] for r in inside})
-            continue
-        part = rows.filter(F.col(column).between(bucket["low"], bucket["high"]))
-        if bucket["rows"] > limit:
-            deeper = values_at_ranks(part, column, list(places), limit)
-            found.update({places[place]: value for place, value in deeper.items()})
-            continue
-        # at most ``limit`` rows, so one ordered window may number them
-        numbered = part.select(column, F.row_number().over(Window.orderBy(column)).alias("_place"))
-        for row in numbered.filter(F.col("_place").isin(list(places))).collect():
-            found[places[row["_place"]]] = row[column]
-    return found
+    so_far = Window.partitionBy("_task").orderBy("_place")
+    upto = F.col("_before") + F.sum("_rows").over(so_far)
+    # one row per task
+    held = placed.join(F.broadcast(offsets), "_task").withColumn("_upto", upto)
+    wanted = F.explode(F.filter(F.array(*map(F.lit, ranks)), lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_rows"))))
+    return {r["rank"]: r[column] for r in held.select(column, wanted.alias("rank")).collect()}
 
 
 def quartiles(df: DataFrame, column: str, approx: bool = False) -> tuple[float | None, float | None]:
@@ -139,56 +89,28 @@ def quartiles(df: DataFrame, column: str, approx: bool = False) -> tuple[float |
 
 
 def ntile_columns(
-    df: DataFrame, group: str, tie: str, sorts: dict[str, tuple[str, bool]], tiles: int = 4, count: int = SPLITTERS
+    df: DataFrame, group: str, tie: str, sorts: dict[str, tuple[str, bool]], tiles: int = 4, parts: int | None = None
 ) -> DataFrame:
     """Add ``ntile(tiles)`` columns, each ranking the rows of a group by one value and the tie column.
 
     ``sorts`` maps an output name to (value column, ascending). Missing values
-    rank last when ascending and first when descending. The first ``n mod
-    tiles`` tiles get one row more, as ``ntile`` does. The input is read
-    several times, so hand over a written or checkpointed table. ``group`` must
-    have few values and no missing ones.
+    rank last when ascending and first when descending; equal ones go by the
+    tie column, a missing tie first. The first ``n mod tiles`` tiles get one
+    row more, as ``ntile`` does. Group and tie may have any type.
     """
-    keys = {}
-    for name, (value, ascending) in sorts.items():
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "tiled")
+
+    def key(value: str, ascending: bool) -> list:
         number = F.col(value).cast("double")
-        signed = number if ascending else -number
-        keys[name] = F.coalesce(signed, F.lit(float("inf") if ascending else float("-inf")))
-    keyed = df.select("*", *[keys[n].alias(f"_key_{n}") for n in sorts])
-    cuts = splitters(keyed.select(tie, *[f"_key_{n}" for n in sorts]), [tie, *[f"_key_{n}" for n in sorts]], count)
-    metrics = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(n).alias("metric"),
-                    F.col(f"_key_{n}").alias("value"),
-                    bucket_of(F.col(f"_key_{n}"), cuts[f"_key_{n}"]).alias("bucket"),
-                )
-                for n in sorts
-            ]
-        )
-    )
-    long = keyed.select(group, tie, metrics.alias("m")).select(
-        group, tie, F.col("m.metric").alias("_metric"), F.col("m.value").alias("_value"), F.col("m.bucket").alias("_bucket")
-    )
-    # last rank of each tile but the last
-    total = F.col("_total")
-    ends = F.array(
-        *[F.floor(total / tiles) * j + F.least(total % tiles, F.lit(j)) for j in range(1, tiles)]
-    )
-    ends_at = rows_at_ranks(long, group, "_metric", "_value", tie, ends, tie_cuts=cuts[tie])
-    # one row per group: bounded by the groups times the tiles times the metrics
-    bounds = ends_at.groupBy(group).agg(
-        *[
-            F.collect_list(F.when(F.col("_metric") == n, F.struct(F.col("_value"), F.col(tie)))).alias(f"_ends_{n}")
-            for n in sorts
-        ]
+        return [number.isNull() == F.lit(ascending), number if ascending else -number]
+
+    sorted_by = [F.struct(F.lit(n).alias("_metric"), *[c.alias(a) for c, a in zip(key(*sorts[n]), ("_last", "_key"), strict=True)]) for n in sorts]
+    long = rows.select("_row", group, tie, F.explode(F.array(*sorted_by)).alias("_m")).select("_row", group, tie, "_m.*")
+    ranked = numbered(long, [group, "_metric"], ["_last", "_key", tie], "_n", "_total", parts)
+    base, extra = F.floor(F.col("_total") / tiles), F.col("_total") % tiles
+    inside = F.col("_n") <= extra * (base + 1)
+    tile = F.when(inside, F.ceil(F.col("_n") / (base + 1))).otherwise(
+        extra + F.ceil(F.try_divide(F.col("_n") - extra * (base + 1), base))
     )
-    # the groups are few by contract (recent or not), so this side is a handful of rows
-    joined = keyed.join(F.broadcast(bounds), group)
-    tiled = joined
-    for n in sorts:
-        me = F.struct(F.col(f"_key_{n}").alias("_value"), F.col(tie).alias(tie))
-        passed = F.size(F.filter(F.col(f"_ends_{n}"), lambda end: end < me))
-        tiled = tiled.withColumn(n, (passed + 1).cast("int"))
-    return tiled.drop(*[f"_key_{n}" for n in sorts], *[f"_ends_{n}" for n in sorts])
+    wide = ranked.groupBy("_row").agg(*[F.max(F.when(F.col("_metric") == n, tile)).cast("int").alias(n) for n in sorts])
+    return rows.join(wide, "_row").drop("_row")

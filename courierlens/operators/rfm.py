@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.operators.ranks import ntile_columns
-from courierlens.operators.slices import SLICE, heavy_keys, number_rows, slice_heavy_keys, whole
+from courierlens.operators.ranks import ntile_columns, numbered
 from courierlens.params import RfmParams
 from courierlens.session import stage
 
+# The columns that name a device.
 DEVICE = ["deviceinfo_device_type", "deviceinfo_manufacturer", "deviceinfo_model"]
 # Class column, the value it ranks, and whether small values come first.
 CLASSES = {
@@ -34,7 +34,7 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     """Orders with their money, numbered per client: ``y`` newest first, ``t`` oldest first.
 
     ``h`` is the seconds from the courier's confirmation to reaching. Order ids
-    settle equal times. Clients with very many orders are numbered in slices.
+    settle equal times. Orders without a client are one client's; no client is too large.
     """
     counted = orders.filter(
         F.col("status").isin(list(rp.statuses))
@@ -49,12 +49,8 @@ def order_ranks(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Data
     joined = counted.join(money, "id").withColumn(
         "h", F.unix_timestamp("reach_date") - F.unix_timestamp("courier_verify_date")
     )
-    heavy = heavy_keys(counted.withColumn("_client", whole("client")), "_client", rp.heavy_client_orders)
-    keyed = joined.withColumn("_client", whole("client"))
-    sliced = slice_heavy_keys(keyed, "_client", "checkout_date", rp.slice_days * 86400, heavy)
-    spread = sliced.repartition("_client", SLICE)
-    numbered = number_rows(spread, ["_client"], ["checkout_date", "id"], "t", total="_orders")
-    return numbered.withColumn("y", F.col("_orders") - F.col("t") + 1).select(
+    ranked = numbered(joined, ["client"], ["checkout_date", "id"], "t", total="_orders")
+    return ranked.withColumn("y", F.col("_orders") - F.col("t") + 1).select(
         "id",
         "client",
         "checkout_date",
@@ -157,3 +153,10 @@ def rfm_segments(orders: DataFrame, financials: DataFrame, rp: RfmParams) -> Dat
         F.when(recent, unified).otherwise(F.lit("0000")).alias("unifiedclass"),
         F.lit(rp.check_date).cast("date").alias("LastIncludedOrderDate"),
     )
+
+
+def save_segments(segments: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """Put segments into a table of the session's catalog in place of what it held, and return the table."""
+    writer = segments.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return segments.sparkSession.table(table)

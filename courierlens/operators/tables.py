@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from courierlens.contracts import prediction_schema, staged_columns, staged_schema
 from courierlens.operators.events import PREDICTION_COLUMNS
+from courierlens.operators.ranks import in_tasks
 from courierlens.params import FINISHED_STATUSES, MARKET_DOMAINS
-from courierlens.session import stage
 from courierlens.sources.orders import with_job
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -34,9 +34,7 @@ def dense_ids(df: DataFrame, order: Sequence[str], out: str, start: int = 0) ->
     and their place in it, so later reads give the same numbers whatever
     becomes of executors. What is summed up over all tasks is one count each.
     """
-    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = stage(in_order.withColumns({"_task": F.spark_partition_id(), "_place": place}), "numbered")
+    placed = in_tasks(df, order)
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_task")
@@ -44,8 +42,8 @@ def dense_ids(df: DataFrame, order: Sequence[str], out: str, start: int = 0) ->
         .select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     # one row per task of the load
-    numbered = placed.join(F.broadcast(offsets), "_task")
-    return numbered.withColumn(out, F.col("_before") + F.col("_place") + F.lit(start).cast("long")).drop("_task", "_place", "_before")
+    numbers = placed.join(F.broadcast(offsets), "_task")
+    return numbers.withColumn(out, F.col("_before") + F.col("_place") + F.lit(start).cast("long")).drop("_task", "_place", "_before")
 
 
 def load_staged(

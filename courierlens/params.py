@@ -63,5 +63,3 @@ class RfmParams:
     first_n: int = 5
     last_n: int = 10
     store_last_n: int = 5
-    heavy_client_orders: int = 1_000_000
-    slice_days: int = 1

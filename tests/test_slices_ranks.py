@@ -83,15 +83,38 @@ def test_ntile(spark, count):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
 
 
-@pytest.mark.parametrize("limit", [1, 10, 10**6])
-def test_values_at_ranks(spark, limit):
+def test_ntile_of_text_and_missing_ties(spark):
+    """Ids may be text or missing, and many rows may share a value and have no id at all."""
+    data = [(f"c{i}", "x", float(i % 3)) for i in range(300)] + [(None, "x", None)] * 300 + [("only", None, 1.0)]
+    frame = spark.createDataFrame(data, "client string, grp string, a double")
+    ours = ranks.ntile_columns(frame, "grp", "client", {"up": ("a", True), "down": ("a", False)}, parts=7)
+    sizes = {(r["grp"], r["up"]): r["count"] for r in ours.groupBy("grp", "up").count().collect()}
+    assert sizes == {("x", 1): 150, ("x", 2): 150, ("x", 3): 150, ("x", 4): 150, (None, 1): 1}
+    assert {r["down"] for r in ours.filter("client is null").collect()} == {1, 2}
+    plain = frame.filter("client is not null").withColumn("n", F.ntile(4).over(Window.partitionBy("grp").orderBy("a", "client")))
+    again = ranks.ntile_columns(frame.filter("client is not null"), "grp", "client", {"n": ("a", True)})
+    assert sorted(map(str, again.collect())) == sorted(map(str, plain.select(*again.columns).collect()))
+
+
+def test_a_large_group_is_numbered_by_many_tasks(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("g"), "id").repartition(5)
+    placed = ranks.in_tasks(rows, ["g", "id"], 12)
+    assert placed.filter("g is null").select("_task").distinct().count() >= 3
+    window = Window.partitionBy("g").orderBy("id")
+    plain = rows.withColumns({"n": F.row_number().over(window), "m": F.count("*").over(Window.partitionBy("g"))})
+    ours = ranks.numbered(rows, ["g"], ["id"], "n", "m", 12)
+    assert sorted(map(str, ours.select("g", "id", "n", "m").collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("parts", [1, 10, 64])
+def test_values_at_ranks(spark, parts):
     rng = random.Random(4)
     values = [1.5] * 400 + [rng.random() * 3 for _ in range(801)]
     rng.shuffle(values)
     frame = spark.createDataFrame([(v,) for v in values], "value double").repartition(4)
     ordered = sorted(values)
     wanted = [1, 2, 300, 301, 600, 900, 1201]
-    assert ranks.values_at_ranks(frame, "value", wanted, limit) == {r: ordered[r - 1] for r in wanted}
+    assert ranks.values_at_ranks(frame, "value", wanted, parts) == {r: ordered[r - 1] for r in wanted}
     assert ranks.quartiles(frame, "value") == pytest.approx(tuple(np.quantile(values, [0.25, 0.75])))
 
 
