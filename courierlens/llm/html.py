@@ -87,8 +87,16 @@ CONTENT_WORDS = frozenset(
 #: Words that say nothing on their own, beside a word of NAMED.
 FURNITURE = frozenset(
     "area bar block box btn button buttons container content group icons inner item items left right top bottom link links "
-    "list main outer panel section site toggle unit wrap wrapper".split()
+    "list main outer panel section site toggle unit wrap wrapper post posts entry article articles page user users reader "
+    "readers visitor visitors thread threads slot slots zone holder placement count counts stream feed body header".split()
 )
+#: Words for what goes whatever element it is and whatever it holds: what readers say, what is paid for, what stands beside.
+COMMENTS = frozenset("comment comments disqus replies respond".split())
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsored".split())
+BESIDE = frozenset("sidebar sidebars sidenav".split())
+ALWAYS = COMMENTS | ADVERTS | BESIDE
+#: Long enough to be told within a word written together, as in commentlist.
+JOINED = sorted((w for w in ALWAYS if len(w) > 5), key=len, reverse=True)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements a text is made of; outside articles, too, only a class that says nothing else drops them.
 TEXTUAL = HEADINGS | frozenset("p blockquote pre section table caption thead tbody tfoot tr th td li dd dt figure figcaption".split())
@@ -118,28 +126,54 @@ class Element:
     dropped: bool = False
     main: bool = False
     within: bool = False
+    lost: bool = False
     parts: list = field(default_factory=list)
     key: int = 0
 
 
+def _words(token: str) -> set[str]:
+    """Words of a name; one written together of a word of ALWAYS and furniture counts as both."""
+    words: set[str] = set()
+    for word in filter(None, NAME_PARTS.split(token)):
+        word = word.lower()
+        if word not in NAMED:
+            for part in JOINED:
+                rest = word.removeprefix(part) if word.startswith(part) else word.removesuffix(part)
+                if rest != word and rest in FURNITURE:
+                    words.add(part)
+                    word = rest
+                    break
+        words.add(word)
+    return words
+
+
 def _names(tag: str, within: bool, name: str, value: str) -> tuple[bool, bool]:
     """Whether a class, id or role drops an element, and whether it does so unless the element holds prose.
 
-    Any word of NAMED drops a box outside articles. Inside them and for textual
-    elements, a name must consist of such words, ids are anchors rather than
-    names of textual elements, and headings and paragraphs stay.
+    Comments, adverts and sidebars go by a name that consists of such words,
+    whatever the element; only headings stay, and an id of a paragraph or a
+    part of a table is an anchor. Else any word of NAMED drops a box outside
+    articles. Inside them and for textual elements, a name must consist of such
+    words, ids other than those of sections are anchors, and headings and
+    paragraphs stay.
     """
     away = doubtful = False
-    for token in value.split() if tag not in ("body", "html", "main", "article") else ():
-        words = {w.lower() for w in NAME_PARTS.split(token) if w}
-        if not words & NAMED:
+    for token in value.split() if tag not in ("body", "html", "main") else ():
+        words = _words(token)
+        if not words & NAMED and not words & ALWAYS:
+            continue
+        anchor = name == "id" and tag in TEXTUAL and tag not in ("section", "table")
+        if words & ALWAYS and words <= ALWAYS | NAMED | FURNITURE and tag not in HEADINGS and not anchor:
+            return True, False
+        if tag == "article" or not words & NAMED:
             continue
         if not within and tag not in TEXTUAL:
             return True, False
-        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or (name == "id" and tag in TEXTUAL):
+        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or anchor:
             continue
         if words <= NAMED | FURNITURE:
-            sure = name == "role" or bool(words & NAMED - CONTENT_WORDS)
+            # the id of a section names what it is about as often as what it is for
+            sure = name == "role" or (name != "id" and bool(words & NAMED - CONTENT_WORDS))
             away, doubtful = away or sure, doubtful or not sure
     return away, doubtful
 
@@ -211,7 +245,8 @@ def parse(source: str) -> Element:
             away = doubtful = main = False
             if "=" in attributes or "hidden" in attributes:
                 away, doubtful, main = _named_away(tag, at.within, attributes)
-            child.main = main or tag in ("article", "main")
+            child.lost = away or at.lost
+            child.main = (main or tag in ("article", "main")) and not child.lost
             child.within = child.main or at.within
             child.dropped = away or tag in DROPPED or (tag == "header" and not at.within)
             at.parts.append(child)

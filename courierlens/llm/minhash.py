@@ -309,14 +309,23 @@ def near_duplicates(documents: DataFrame, params: NearParams = NearParams()) ->
 
 
 def keep_one(documents: DataFrame, params: NearParams = NearParams()) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns; one row where an id repeats."""
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Rows that repeat an id are one document; of them the one with the least
+    text stays, a missing text before all, and of equal texts any. Rows without
+    an id link with nothing and all stay, as do texts without words. Columns
+    may have any names; no documents give none.
+    """
     rows = near_duplicates(documents, params).filter("doc_id is not null")
-    ids = rows.groupBy("doc_id").agg(F.max("kept").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_repeats"))
-    special = written(ids.filter("not _stays or _repeats"), "near-special")
+    ids = rows.groupBy("doc_id").agg(F.max("kept").alias("stays"), (F.count(F.lit(1)) > 1).alias("repeats"))
+    special = written(ids.filter("not stays or repeats").withColumnRenamed("doc_id", "id"), "near-special")
+    # a row travels as one column, so its own names meet none of these
+    packed = documents.select(
+        F.col("doc_id").cast("bigint").alias("key"), F.col("text").alias("said"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    )
     # most rows are neither dropped nor repeated: they pass without a shuffle
-    marked = maybe_among(documents, special, "doc_id", "_maybe")
-    passed = marked.filter("not _maybe").drop("_maybe")
-    looked_at = marked.filter("_maybe").drop("_maybe").join(special.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
-    single = looked_at.filter("_id is null").drop("_id", "_stays", "_repeats")
-    several = looked_at.filter("_stays and _repeats").drop("_id", "_stays", "_repeats").dropDuplicates(["doc_id"])
-    return passed.unionByName(single).unionByName(several)
+    marked = maybe_among(packed, special.select(F.col("id").alias("key")), "key", "maybe")
+    looked_at = marked.filter("maybe").join(special, F.col("key") == F.col("id"), "left")
+    single = looked_at.filter("id is null")
+    several = looked_at.filter("stays and repeats").groupBy("key").agg(F.min_by("row", F.struct("said")).alias("row"))
+    return marked.filter("not maybe").select("row").unionByName(single.select("row")).unionByName(several.select("row")).select("row.*")

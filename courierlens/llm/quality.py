@@ -117,8 +117,8 @@ def fit_curve(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def margin(model: NbSvmModel, grams: np.ndarray) -> float:
-    return float(model.weights[grams].sum()) * even(len(grams)) + model.bias
+def margin(weights: np.ndarray, bias: float, grams: np.ndarray) -> float:
+    return float(weights[grams].sum()) * even(len(grams)) + bias
 
 
 def constant(score: float, params: NbSvmParams) -> NbSvmModel:
@@ -176,15 +176,17 @@ def fit(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvmPara
 
 def score_column(documents: DataFrame, model: NbSvmModel, text: str = "text") -> Column:
     """Score of the whole text, 0 to 1; the broadcast model has a fixed size, ``dimensions`` floats."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    # a broadcast travels without the code of its classes, so it holds an array and nothing else
+    shared = documents.sparkSession.sparkContext.broadcast(model.weights)
+    bias, slope, level, params = model.bias, model.slope, model.level, model.params
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
-        cache = Cache(lambda w: word_grams(w, model.params))
+        weights = shared.value
+        cache = Cache(lambda w: word_grams(w, params))
         for texts in batches:
-            margins = np.array([margin(model, document_grams(t, cache)) for t in texts], dtype=float)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(model.slope * margins + model.level, -30, 30))))
+            margins = np.array([margin(weights, bias, document_grams(t, cache)) for t in texts], dtype=float)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(slope * margins + level, -30, 30))))
 
     return score(F.col(text))
 
@@ -206,5 +208,10 @@ def quality(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvm
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, params: NbSvmParams = NbSvmParams()) -> DataFrame:
-    """The documents scored at ``threshold`` or above, with all their columns."""
+    """The documents scored at ``threshold`` or above, with all their columns.
+
+    Null and empty texts get the score of a text without n-grams; rows without
+    an id are scored like others and never learnt from; repeated rows stay or
+    go together; no documents give none.
+    """
     return documents.filter(score_column(documents, fit(documents, labels, params)) >= params.threshold)

@@ -217,11 +217,13 @@ def score_column(documents: DataFrame, model: PuModel, text: str = "text") -> Co
 
     The broadcast model has a fixed size, ``dimensions`` floats.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.params))
+    # a broadcast travels without the code of its classes, so it holds an array and nothing else
+    shared = documents.sparkSession.sparkContext.broadcast(model.weights)
+    bias, params = model.bias, model.params
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weights, bias, params = shared.value
+        weights = shared.value
         cache = Cache(lambda w: float(weights[word_features(w, params)].sum()))
         value = cache.__getitem__
         for texts in batches:
@@ -249,5 +251,10 @@ def toxicity(documents: DataFrame, labels: DataFrame, params: PuParams = PuParam
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame, params: PuParams = PuParams(), limit: float = 0.5) -> DataFrame:
-    """The documents scored below ``limit``, with all their columns."""
+    """The documents scored below ``limit``, with all their columns.
+
+    Null and empty texts are scored by the bias alone, which keeps them; rows
+    without an id are scored like others and never learnt from; repeated rows
+    stay or go together; no documents give none.
+    """
     return documents.filter(score_column(documents, fit(documents, labels, params)) < limit)

@@ -44,8 +44,10 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_name(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page {page_id}')}>"
+def record_name(page_id: int | None) -> str:
+    """The same for a page at any time; one of its own for every page without an id."""
+    named = uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_OID, f"page {page_id}")
+    return f"<urn:uuid:{named}>"
 
 
 def header_value(text: str) -> str:
@@ -53,19 +55,21 @@ def header_value(text: str) -> str:
     return "".join(c if c >= " " else f"%{ord(c):02X}" for c in text)
 
 
-def make_record(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def make_record(
+    page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, name: str | None = None
+) -> bytes:
     """A response record with its payload, or a revisit record without."""
     revisit = refers_to is not None
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     block = http + (b"\r\n" if revisit else b"Content-Length: %d\r\n\r\n" % len(payload) + payload)
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", record_name(page_id)),
+        ("WARC-Record-ID", name or record_name(page_id)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", header_value(url or "")),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("Content-Type", "application/http; msgtype=response"),
-        ("X-Page-Id", str(page_id)),
+        *([] if page_id is None else [("X-Page-Id", str(page_id))]),
     ]
     if revisit:
         headers += [
@@ -213,12 +217,13 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, frame_by
                 if writer is None:
                     out = files.open_output_stream(f"{base}/{bundle}", compression=None)
                     writer = BundleWriter(out, frame_bytes, level)
-                page_id = -1 if pd.isna(page_id) else int(page_id)
-                record = make_record(
-                    page_id, url, payload, payload_digest(payload), None if pd.isna(target) else int(target)
-                )
-                found.append((record_name(page_id), page_id, bundle, *writer.add(record), len(record)))
-            yield pd.DataFrame(found, columns=["record_id", "page_id", "bundle", "frame", "offset", "size"])
+                page_id = None if pd.isna(page_id) else int(page_id)
+                target, name = None if pd.isna(target) else int(target), record_name(page_id)
+                record = make_record(page_id, url, payload, payload_digest(payload), target, name)
+                found.append((name, page_id, bundle, *writer.add(record), len(record)))
+            frame = pd.DataFrame(found, columns=["record_id", "page_id", "bundle", "frame", "offset", "size"])
+            frame["page_id"] = frame["page_id"].astype("Int64")
+            yield frame
         if writer is not None:
             writer.close()
             out.close()
@@ -235,21 +240,24 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, base = open_folder(folder)
-        name, reader = None, None
+        name, reader, file = None, None, None
         for rows in batches:
             found = []
             for bundle, frame, offset, size in zip(rows["bundle"], rows["frame"], rows["offset"], rows["size"], strict=True):
                 if bundle != name:
-                    name, reader = bundle, BundleReader(files.open_input_file(f"{base}/{bundle}"))
+                    if file is not None:
+                        file.close()
+                    file = files.open_input_file(f"{base}/{bundle}")
+                    name, reader = bundle, BundleReader(file)
                 headers, payload = parse_record(reader.record(int(frame), int(offset), int(size)))
                 stated = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                kind, page_id = headers["WARC-Type"], int(headers["X-Page-Id"])
+                kind, page_id = headers["WARC-Type"], headers.get("X-Page-Id")
                 response = kind == "response"
                 if response and payload_digest(payload) != stated:
                     raise ValueError(f"payload of {page_id} does not have its digest")
                 found.append(
                     (
-                        None if page_id == -1 else page_id,
+                        None if page_id is None else int(page_id),
                         len(payload) if response else None,
                         stated,
                         kind,
@@ -261,6 +269,8 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
             for column in ("page_id", "payload_bytes", "refers_to"):
                 frame[column] = frame[column].astype("Int64")
             yield frame
+        if file is not None:
+            file.close()
 
     return index.mapInPandas(read, READ)
 

@@ -259,3 +259,32 @@ def test_pipeline_stages(spark, tmp_path):
     assert collections.Counter(r["doc_id"] for r in rows if r["piece"] == 0) == collections.Counter(ids)
     toxic = {i for i in range(0, 900, 7)}
     assert len(toxic & set(ids)) < 0.6 * len(toxic)
+
+
+def test_broadcasts_hold_no_classes_of_the_package(spark, monkeypatch):
+    """Executors without the package can read them: pickles of own classes name the module they come from."""
+    documents, labels = labelled(spark)
+    shared, real = [], spark.sparkContext.broadcast
+
+    def recorded(value):
+        shared.append(value)
+        return real(value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: recorded(value))
+    toxicity.toxicity(documents, labels)
+    quality.quality(documents, labels)
+    assert len(shared) == 2 and all(type(v) is np.ndarray for v in shared)
+
+
+def test_near_duplicate_stage_takes_any_columns(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    names = ["_id", "_bits", "_bucket", "_stays", "_repeats", "_maybe", "key", "row", "id", "said", "maybe", "stays", "repeats", "odd.name"]
+    rows = [(5, text), (3, text + " more"), (7, "quite another text"), (None, text), (None, None), (8, "b"), (8, "a"), (8, None), (9, "")]
+    schema = "doc_id int, text string, " + ", ".join(f"`{n}` int" for n in names)
+    frame = spark.createDataFrame([(*r, *range(i, i + len(names))) for i, r in enumerate(rows)], schema)
+    kept = minhash.keep_one(frame.repartition(3))
+    assert kept.columns == frame.columns and kept.schema["doc_id"].dataType == frame.schema["doc_id"].dataType
+    assert sorted(map(str, kept.select("doc_id", "text", "_bits", "`odd.name`").collect())) == sorted(
+        map(str, frame.filter("_id in (1, 2, 3, 4, 7, 8)").select("doc_id", "text", "_bits", "`odd.name`").collect())
+    )
+    assert minhash.keep_one(frame.limit(0)).collect() == []

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from courierlens.llm import bpe, html, packing, ppm, warc
+from courierlens.llm.common import new_path
 from courierlens.llm.queries import pack_params
 from courierlens.llm.wordcoder import to_bytes
 
@@ -162,6 +163,7 @@ PAGES = [
     (6, "u", "long " * 200_000),
     (7, "u", "<p>one</p>"),
     (None, "u", "zwei ü"),
+    (-1, "u", "minus one"),
 ]
 
 
@@ -179,6 +181,9 @@ def test_archives_give_back_every_page(spark):
         assert row["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode()
         assert (row["record_type"], row["refers_to"]) == ("revisit" if refers_to else "response", refers_to)
     assert warc.archived(pages.limit(0)).collect() == []
+    several = pages.unionByName(pages.filter("page_id is null")).unionByName(pages.filter("page_id is null"))
+    index = warc.write_archives(several, new_path(spark, "warc-test"))
+    assert index.select("record_id").distinct().count() == several.count()
     longer = {r["page_id"]: r["record_type"] for r in warc.archived(pages, least_bytes=11).collect()}
     assert set(longer.values()) == {"response"}
 
@@ -211,6 +216,38 @@ def test_main_text_of_one_page():
     assert html.main_text("<p>a</b>c</div>d") == "acd"
 
 
+@pytest.mark.parametrize(
+    "box",
+    [
+        '<article class="comment"><p>{0}</p></article>',
+        '<section id="comments"><h3>Replies</h3><p>{0}</p></section>',
+        '<ol class="commentlist"><li><p>{0}</p></li></ol>',
+        '<div class="user-comment"><p>{0}</p></div>',
+        '<div class="comment-thread"><p>{0}</p></div>',
+        '<div class="usercomments"><p>{0}</p></div>',
+        '<div id="commentList"><article><p>{0}</p></article></div>',
+        '<div class="ad-slot"><p>{0}</p></div>',
+        '<p class="ad">{0}</p>',
+        '<div class="post-share-buttons"><a href="/s">share this</a> <a href="/t">tell a friend</a></div>',
+        '<section id="related-posts"><ul><li><a href="/a">one more story</a></li><li><a href="/b">and one</a></li></ul></section>',
+        '<table id="sidebar"><tr><td>{0}</td></tr></table>',
+        '<aside class="sidebar"><p>{0}</p></aside>',
+    ],
+)
+def test_comments_adverts_and_sidebars_go_whatever_holds_them(box):
+    said = "A whole paragraph that a reader or an advertiser wrote, long enough to be taken for prose by its length alone."
+    inside = f"<html><body><article><p>Main text.</p>{box.format(said)}<p>More.</p></article></body></html>"
+    outside = f"<html><body><article><p>Main text.</p><p>More.</p></article>{box.format(said)}</body></html>"
+    assert html.main_text(inside) == html.main_text(outside) == "Main text. More."
+
+
+def test_words_beside_others_are_no_kind():
+    kept = """<article><p class="share-price">Price</p><div class="commentary"><p>A commentary</p></div><h2 class="comments">On comments</h2>
+    <p id="comment">Anchor</p><div class="adverse"><p>Adverse</p></div><section id="discussion"><p>Discussion</p></section>
+    <section id="legal"><p>Law</p></section><div class="comment-on-law"><p>Opinion</p></div></article>"""
+    assert html.main_text(kept) == "Price A commentary On comments Anchor Adverse Discussion Law Opinion"
+
+
 def test_names_do_not_drop_prose():
     article = """<article><h2 id="Legal_status">Legal</h2><p class="share-price">Price</p><section id="discussion"><h2>Discussion</h2>
     <p>Found.</p></section><table id="search"><tr><td>cell</td></tr></table><div class="discussion"><p>More.</p></div>
