@@ -116,7 +116,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Characters outside links from which a box is prose.
 MUCH = 100
-NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+NAME_PARTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 @dataclass(slots=True)
@@ -169,7 +169,7 @@ def _names(tag: str, within: bool, name: str, value: str) -> tuple[bool, bool]:
             continue
         if not within and tag not in TEXTUAL:
             return True, False
-        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or anchor:
+        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or anchor or (name == "id" and tag == "table"):
             continue
         if words <= NAMED | FURNITURE:
             # the id of a section names what it is about as often as what it is for
