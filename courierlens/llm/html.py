@@ -154,7 +154,7 @@ def _names(tag: str, within: bool, name: str, value: str) -> tuple[bool, bool]:
     whatever the element; only headings stay, and an id of a paragraph or a
     part of a table is an anchor. Else any word of NAMED drops a box outside
     articles. Inside them and for textual elements, a name must consist of such
-    words, ids other than those of sections are anchors, and headings and
+    words, ids are anchors unless they call a section a box, and headings and
     paragraphs stay.
     """
     away = doubtful = False
@@ -162,14 +162,17 @@ def _names(tag: str, within: bool, name: str, value: str) -> tuple[bool, bool]:
         words = _words(token)
         if not words & NAMED and not words & ALWAYS:
             continue
-        anchor = name == "id" and tag in TEXTUAL and tag not in ("section", "table")
-        if words & ALWAYS and words <= ALWAYS | NAMED | FURNITURE and tag not in HEADINGS and not anchor:
+        anchor = name == "id" and tag in TEXTUAL
+        fixed = tag in HEADINGS or (anchor and tag not in ("section", "table"))
+        if words & ALWAYS and words <= ALWAYS | NAMED | FURNITURE and not fixed:
             return True, False
+        if tag == "section" and words & FURNITURE:
+            anchor = False  # related-posts is a box, discussion a part of the text
         if tag == "article" or not words & NAMED:
             continue
         if not within and tag not in TEXTUAL:
             return True, False
-        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or anchor or (name == "id" and tag == "table"):
+        if tag in HEADINGS or (within and tag in ("p", "blockquote", "pre")) or anchor:
             continue
         if words <= NAMED | FURNITURE:
             # the id of a section names what it is about as often as what it is for
