@@ -1,18 +1,20 @@
 """Byte-level BPE over many texts at once: corpus-level merge replay, and decoding.
 
-All words that a batch of texts brings new are laid out as one chain of bytes.
+All words that texts bring new to a task are laid out as one chain of bytes.
 An inverted index holds, for every mergeable pair, the positions where it
 stands. Merges are then applied in rank order to all their positions together;
 each application links the pair's neighbours anew and enters the two pairs that
 arise into the index. Only neighbours of a merge are ever touched, so a word of
-n bytes costs n log n however long it is.
+n bytes costs n log n however long it is. Ids of a word are kept for the texts
+that follow in the task; no word is shared between tasks, which would cost a
+shuffle of every occurrence.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.llm.wordcoder import WordCoder, to_bytes
+from courierlens.llm.wordcoder import to_bytes
 
 SHIFT = 32
 
@@ -32,10 +34,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeReplay:
-    """Merges of a vocabulary of ranks; a pair merges if its bytes together are a token."""
+    """Merges of a vocabulary of ranks; a pair merges if its bytes together are a token.
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    Pairs that stand at ``many`` positions or more, as ranks go by, are merged as arrays.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], many: int = 24):
+        self.ranks, self.many = ranks, many
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.pairs = {
             ranks[token[:i]] << SHIFT | ranks[token[i:]]: rank
@@ -78,17 +83,85 @@ class MergeReplay:
         return found
 
     def _replay(self, ids: np.ndarray, pair: np.ndarray, last: np.ndarray) -> tuple[list[int], set[int]]:
+        """Ids with -1 where a byte has gone into the token before it, and places in words that are to be done alone.
+
+        Few pairs stand at most of the positions: as long as a pair has many,
+        they merge as arrays; the long tail of rare pairs follows one by one.
+        """
         size = len(ids)
         places = np.flatnonzero(pair >= 0)
         places = places[np.argsort(pair[places], kind="stable")]
         ordered = pair[places]
         cuts = np.flatnonzero(np.diff(ordered)) + 1
-        index = {int(pair[p[0]]): p.tolist() for p in np.split(places, cuts) if len(p)}
+        index = {int(pair[p[0]]): [p] for p in np.split(places, cuts) if len(p)}
         # neighbours within the word; -1 beyond its ends
-        after = np.where(last, -1, np.arange(1, size + 1)).tolist()
-        before = np.where(np.concatenate([[True], last[:-1]]), -1, np.arange(-1, size - 1)).tolist()
-        ids, pair, lookup = ids.tolist(), pair.tolist(), self.pairs.get
-        heap, irregular = list(index), set()
+        after = np.where(last, -1, np.arange(1, size + 1))
+        before = np.where(np.concatenate([[True], last[:-1]]), -1, np.arange(-1, size - 1))
+        heap, irregular, usual = list(index), set(), 4.0 * self.many
+        marked = np.zeros(size, bool)
+        heapq.heapify(heap)
+        while heap and usual >= self.many:
+            rank = heapq.heappop(heap)
+            found = index.pop(rank)
+            at = np.sort(np.concatenate(found)) if len(found) > 1 else found[0]
+            usual += (len(at) - usual) / 64
+            at = at[pair[at] == rank]  # elsewhere a neighbour has merged meanwhile
+            if not len(at):
+                continue
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+            marked[at] = True
+            behind = after[at]
+            overlap = marked[behind] & (behind >= 0)
+            marked[at] = False
+            if overlap.any():
+                at = self._leftmost(at.tolist(), after)
+            self._merge_all(rank, at, ids, pair, after, before, index, heap, irregular)
+        lists = {rank: np.unique(np.concatenate(p)).tolist() for rank, p in index.items()}
+        return self._replay_rare(ids.tolist(), pair.tolist(), after.tolist(), before.tolist(), lists, irregular)
+
+    @staticmethod
+    def _leftmost(at: list[int], after: np.ndarray) -> np.ndarray:
+        """Positions from left to right without those that lie in a pair before them, as in a run of one letter."""
+        taken, inside = [], -1
+        for position in at:
+            if position != inside:
+                taken.append(position)
+                inside = int(after[position])
+        return np.array(taken)
+
+    def _merge_all(self, rank, at, ids, pair, after, before, index, heap, irregular) -> None:
+        """Merge the pairs at positions that do not overlap, and enter the pairs that arise."""
+        gone = after[at]
+        far = after[gone]
+        ids[at], ids[gone], pair[gone] = rank, -1, -1
+        after[at] = far
+        within = far >= 0
+        before[far[within]] = at[within]
+        pair[at[~within]] = -1
+        near = before[at]
+        left = np.concatenate([near[near >= 0], at[within]])
+        if not len(left):
+            return
+        code = ids[left] << SHIFT | ids[after[left]]
+        place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        new = np.where(self.codes[place] == code, self.code_ranks[place], -1)
+        pair[left] = new
+        irregular.update(left[(new >= 0) & (new < rank)].tolist())  # an earlier merge has become possible
+        known = new >= 0
+        left, new = left[known], new[known]
+        order = np.argsort(new, kind="stable")
+        left, new = left[order], new[order]
+        for part in np.split(np.arange(len(new)), np.flatnonzero(np.diff(new)) + 1) if len(new) else ():
+            key = int(new[part[0]])
+            if key in index:
+                index[key].append(left[part])
+            else:
+                index[key] = [left[part]]
+                heapq.heappush(heap, key)
+
+    def _replay_rare(self, ids, pair, after, before, index, irregular) -> tuple[list[int], set[int]]:
+        lookup = self.pairs.get
+        heap = list(index)
         heapq.heapify(heap)
         while heap:
             rank = heapq.heappop(heap)
@@ -133,17 +206,37 @@ class MergeReplay:
         return ids
 
 
-def pattern_coder(ranks: dict[bytes, int], pattern: str) -> WordCoder:
-    """Coder that encodes each match of the pattern separately."""
-    replay, matches = MergeReplay(ranks), regex.compile(pattern).findall
-
-    def encode(parts: list[str]) -> list[bytes]:
-        cut = [matches(p) for p in parts]
-        words = list(set().union(*cut))
-        ids = dict(zip(words, replay.encode([w.encode() for w in words]), strict=True))
-        return [b"".join(map(ids.__getitem__, c)) for c in cut]
-
-    return WordCoder(encode)
+class MatchCoder:
+    """Encodes each match of the pattern separately; ids of up to ``most`` different matches are kept."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 400_000, chars: int = 4_000_000):
+        self.ranks, self.matches, self.most, self.chars = ranks, regex.compile(pattern).findall, most, chars
+        self.replay, self.known = MergeReplay(ranks), {}
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """Ids of each text as bytes; a missing text counts as empty. Texts of about ``chars`` are cut at a time."""
+        found, some, size = [], [], 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size >= self.chars:
+                found += self._encode(some)
+                some, size = [], 0
+        return found + self._encode(some)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self.matches(t) for t in texts]
+        new = list(set().union(*cut) - self.known.keys())
+        if len(self.known) + len(new) > self.most:
+            self.known = {}
+            new = list(set().union(*cut))
+        plain = [w.encode() for w in new]
+        # a match that is a token needs no merges
+        whole = [self.ranks.get(w) for w in plain]
+        self.known.update({w: to_bytes([r]) for w, r in zip(new, whole, strict=True) if r is not None})
+        rest = [(w, p) for w, p, r in zip(new, plain, whole, strict=True) if r is None]
+        self.known.update(zip([w for w, _ in rest], self.replay.encode([p for _, p in rest]), strict=True))
+        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
 
 
 class Decoder:
@@ -159,7 +252,7 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit numbers) of every whole text; null is empty."""
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = pattern_coder(read_ranks(path), pattern)
+        coder = MatchCoder(read_ranks(path), pattern)
         for rows in batches:
             yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "ids": coder.encode(rows["text"])})
 

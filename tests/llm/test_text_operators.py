@@ -53,19 +53,23 @@ def random_texts(n: int) -> list[str]:
     return ["".join(draw.choice(letters) for _ in range(draw.randint(1, 60))) for _ in range(n)]
 
 
-def test_merge_replay_gives_the_ids_of_the_library():
+@pytest.mark.parametrize(("many", "most", "chars"), [(24, 400_000, 4_000_000), (0, 50, 200), (10**9, 400_000, 4_000_000)])
+def test_merge_replay_gives_the_ids_of_the_library(many, most, chars):
     ranks = bpe.read_ranks(MULTI)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    coder = bpe.pattern_coder(ranks, public_tokenizers.PATTERN)
-    texts = [t or "" for t in ODD] + random_texts(1500)
+    coder = bpe.MatchCoder(ranks, public_tokenizers.PATTERN, most, chars)
+    coder.replay.many = many
+    texts = [t or "" for t in ODD] + random_texts(1500) + ["a" * n for n in range(60)] + ["ab" * n + "a" for n in range(40)]
     for text, ids in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
 
 
 def test_merge_replay_when_a_merge_makes_an_earlier_one_possible():
     ranks = {bytes([b]): b for b in range(256)} | {b"abc": 300, b"ab": 500, b"bcab": 301, b"bc": 600}
-    replay = bpe.MergeReplay(ranks)
-    words = [b"abcabc", b"ababcab", b"bcab", b"", b"abab"]
+    words = [b"abcabc", b"ababcab", b"bcab", b"", b"abab"] * 9
+    for many in (0, 24, 10**9):
+        replay = bpe.MergeReplay(ranks, many)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in replay.encode(words)] == [replay.encode_alone(w) for w in words]
     for word, ids in zip(words, replay.encode(words), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == replay.encode_alone(word)
 
