@@ -10,9 +10,10 @@ longer context could have coded are excluded from the shorter ones.
 With the model fixed, the code length of a byte depends on its ``order``
 preceding bytes alone. So Spark works it out once per distinct (order + 1)-gram
 of the corpus, by joins down the trie, and not once per byte. Documents then
-meet only the grams and words of their block: a block is what one input split
-holds, so its dictionary is bounded by the split size and no table of the whole
-corpus is ever in one place. A document's text moves through one shuffle.
+meet only the grams and words of their block: a block is what one task has
+read, ``block_rows`` documents at most, and is written with the documents. So its
+dictionary is bounded by the split size and no table of the whole corpus is
+ever in one place. A document's text moves through one shuffle.
 
 Texts are scored as their words (A-Z in lower case), joined by one blank, and an
 end. \\x09 stands before the start and \\x0A for the end; words hold neither.
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.llm.common import bucket, fold, written
+from courierlens.llm.common import fold, written
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class PpmParams:
     order: int = 5
     folds: int = 7
     held_out: int = 2
-    loose_blocks: int = 64  # blocks of documents that do not come from files
+    block_rows: int = 50_000
 
 
 END = b""
@@ -66,20 +67,15 @@ def grams_of(words: list[bytes], order: int) -> Iterator[np.ndarray]:
         yield packed
 
 
-def block_of(params: PpmParams) -> Column:
-    """The input split a row was read from; rows that come from no file are dealt by their values."""
-    split = F.xxhash64(F.input_file_name(), F.input_file_block_start())
-    return F.when(F.input_file_name() == "", bucket(["doc_id", "text"], params.loose_blocks)).otherwise(split)
-
-
 class GramCounts:
     """Counts by gram; new ones are summed up in small lots, and lots merged when they outweigh what is merged."""
 
-    def __init__(self, lot: int = 500_000):
+    def __init__(self, lot: int = 1_000_000):
         self.lot, self.fresh, self.waiting, self.lots = lot, [], 0, []
 
     def add(self, grams: np.ndarray, weight: int) -> None:
-        self.fresh.append((grams, np.full(len(grams), weight, np.int32)))
+        """``weight`` is 0 or 1; as the last bit it is sorted along with the gram."""
+        self.fresh.append(grams << 1 | weight)
         self.waiting += len(grams)
         if self.waiting >= self.lot:
             self.close_lot()
@@ -88,21 +84,25 @@ class GramCounts:
         """Like a binary counter: a lot takes in every earlier one that is not larger, so a gram is moved few times."""
         if not self.fresh:
             return
-        new = self.summed(self.fresh)
+        marked = np.sort(np.concatenate(self.fresh))
         self.fresh, self.waiting = [], 0
+        new = self.counted(marked >> 1, marked & 1)
         while self.lots and len(self.lots[-1][0]) <= 2 * len(new[0]):
             new = self.summed([self.lots.pop(), new])
         self.lots.append(new)
 
     @staticmethod
-    def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        grams, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(grams, kind="stable")
-        grams, weights = grams[order], weights[order]
-        del order
+    def counted(grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Grams in order, each once, with the sum of its weights."""
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         return grams[first], np.add.reduceat(weights, first, dtype=np.int64)
 
+    @classmethod
+    def summed(cls, parts: list) -> tuple[np.ndarray, np.ndarray]:
+        grams, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(grams, kind="stable")  # runs in order are merged
+        return cls.counted(grams[order], weights[order])
+
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         self.close_lot()
         if not self.lots:
@@ -206,23 +206,64 @@ def byte_costs(grams: DataFrame, params: PpmParams) -> DataFrame:
     return result
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of keys, which are in order, for wanted ones in any; one that is missing is an error."""
+    order = np.argsort(wanted)
+    ordered = wanted[order]
+    places = np.searchsorted(keys, ordered)  # in order, so neighbours lie close together
+    if len(wanted) and (places[-1] >= len(keys) or (keys[places] != ordered).any()):
+        raise ValueError("a text holds a gram that its block does not know")
+    found = np.empty(len(wanted))
+    found[order] = values[places]
+    return found
+
+
+class CodeLengths:
+    """Sums of byte costs by text; the bytes of many texts are looked up together."""
+
+    def __init__(self, grams: np.ndarray, costs: np.ndarray, lot: int = 1_000_000):
+        self.grams, self.costs, self.lot = grams, costs, lot
+        self.sums: list[float] = []
+        self.pieces, self.owners, self.waiting = [], [], 0
+
+    def add(self, pieces: Iterator[np.ndarray]) -> None:
+        """The next text."""
+        self.sums.append(0.0)
+        for piece in pieces:
+            self.pieces.append(piece)
+            self.owners.append(len(self.sums) - 1)
+            self.waiting += len(piece)
+            if self.waiting >= self.lot:
+                self.close_lot()
+
+    def close_lot(self) -> None:
+        if not self.pieces:
+            return
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in self.pieces])])
+        costs = looked_up(self.grams, self.costs, np.concatenate(self.pieces))
+        for owner, first, end in zip(self.owners, starts, starts[1:], strict=False):
+            self.sums[owner] += float(costs[first:end].sum())
+        self.pieces, self.owners, self.waiting = [], [], 0
+
+
 def _scored(params: PpmParams, total: int, distinct: int):
     def score(key: tuple, docs: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         is_word = entries["word"].notna().to_numpy()
         order = np.argsort(entries["gram"].to_numpy()[~is_word])
-        grams = entries["gram"].to_numpy()[~is_word][order]
-        costs = entries["value"].to_numpy()[~is_word][order]
+        codes = CodeLengths(entries["gram"].to_numpy()[~is_word][order], entries["value"].to_numpy()[~is_word][order])
         counts = dict(zip(entries["word"].to_numpy()[is_word], entries["value"].to_numpy()[is_word], strict=True))
-        del entries
+        del entries, is_word, order
         found = []
         for doc_id, held, text in zip(docs["doc_id"].astype("Int64"), docs["held_out"], docs["text"], strict=True):
             tokens = words_of(text)
-            code = sum(costs[np.searchsorted(grams, piece)].sum() for piece in grams_of(tokens, params.order))
+            codes.add(grams_of(tokens, params.order))
             tokens.append(END)
             c = np.fromiter(map(counts.__getitem__, tokens), float, len(tokens))
             base = np.log10((c + 1) / (total + distinct + 1)).sum()
-            found.append((doc_id, held, len(tokens), int((c > 0).sum()), total, base, code))
-        frame = pd.DataFrame(found, columns=[c.split()[0] for c in SCORED.split(", ")])
+            found.append((doc_id, held, len(tokens), int((c > 0).sum()), total, base))
+        codes.close_lot()
+        frame = pd.DataFrame(found, columns=[c.split()[0] for c in SCORED.split(", ")][:-1])
+        frame["score"] = codes.sums
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
 
@@ -239,8 +280,17 @@ def scores(documents: DataFrame, params: PpmParams = PpmParams()) -> DataFrame:
     gram and word of the training documents counts, at any size.
     """
     held = F.coalesce(fold("doc_id", params.folds) == params.held_out, F.lit(False))
-    docs = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", held.alias("held_out"), block_of(params).alias("block")
+    # written once with its block, so both passes agree whatever becomes of executors and splits in between
+    number = F.monotonically_increasing_id()
+    place = F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / params.block_rows)
+    docs = written(
+        documents.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            "text",
+            held.alias("held_out"),
+            F.shiftleft(F.shiftright(number, 33), 32).bitwiseOR(place).alias("block"),
+        ),
+        "ppm-documents",
     )
     tallies = docs.select("block", "held_out", "text").mapInPandas(
         _tallied(params), "block bigint, gram bigint, word binary, n bigint"

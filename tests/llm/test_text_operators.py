@@ -364,5 +364,17 @@ def test_scores_equal_a_walk_down_the_trie(spark):
         assert row["base_score"] == pytest.approx(expected[4])
         assert row["score"] == pytest.approx(expected[5])
     assert ppm.scores(frame.limit(0), params).collect() == []
+    # the same whatever the splits and blocks, also where the splits differ between the passes
+    small = ppm.PpmParams(order=3, block_rows=3)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        again = ppm.scores(frame.repartition(5), small)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        key = lambda r: (str(r["doc_id"]), r["n_tokens"], round(r["score"], 6), round(r["base_score"], 6), r["n_known"])
+        assert sorted(map(key, again.collect())) == sorted(map(key, rows))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(ValueError, match="does not know"):
+        ppm.looked_up(np.array([1, 3, 5]), np.zeros(3), np.array([3, 4]))
     held = frame.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
     assert {r["train_tokens"] for r in ppm.scores(held, params).collect()} == {0}
