@@ -27,6 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -221,7 +223,7 @@ def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.nd
 class CodeLengths:
     """Sums of byte costs by text; the bytes of many texts are looked up together."""
 
-    def __init__(self, grams: np.ndarray, costs: np.ndarray, lot: int = 1_000_000):
+    def __init__(self, grams: np.ndarray, costs: np.ndarray, lot: int = 500_000):
         self.grams, self.costs, self.lot = grams, costs, lot
         self.sums: list[float] = []
         self.pieces, self.owners, self.waiting = [], [], 0
@@ -247,25 +249,30 @@ class CodeLengths:
 
 
 def _scored(params: PpmParams, total: int, distinct: int):
-    def score(key: tuple, docs: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        is_word = entries["word"].notna().to_numpy()
-        order = np.argsort(entries["gram"].to_numpy()[~is_word])
-        codes = CodeLengths(entries["gram"].to_numpy()[~is_word][order], entries["value"].to_numpy()[~is_word][order])
-        counts = dict(zip(entries["word"].to_numpy()[is_word], entries["value"].to_numpy()[is_word], strict=True))
-        del entries, is_word, order
+    def score(docs: pa.Table, entries: pa.Table) -> pa.Table:
+        # columns of a block stay as they came; only a few texts at a time become Python's
+        is_word = pc.is_valid(entries["word"])
+        words = entries.filter(is_word)
+        counts = dict(zip(words["word"].to_pylist(), words["value"].to_pylist(), strict=True))
+        grams = entries.filter(pc.invert(is_word)).select(["gram", "value"])
+        del words, entries
+        order = np.argsort(keys := grams["gram"].to_numpy())
+        codes = CodeLengths(keys[order], grams["value"].to_numpy()[order])
+        del grams, keys, order
         found = []
-        for doc_id, held, text in zip(docs["doc_id"].astype("Int64"), docs["held_out"], docs["text"], strict=True):
-            tokens = words_of(text)
-            codes.add(grams_of(tokens, params.order))
-            tokens.append(END)
-            c = np.fromiter(map(counts.__getitem__, tokens), float, len(tokens))
-            base = np.log10((c + 1) / (total + distinct + 1)).sum()
-            found.append((doc_id, held, len(tokens), int((c > 0).sum()), total, base))
+        for batch in docs.select(["doc_id", "held_out", "text"]).to_batches(max_chunksize=64):
+            for doc_id, held, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = words_of(text)
+                codes.add(grams_of(tokens, params.order))
+                tokens.append(END)
+                c = np.fromiter(map(counts.__getitem__, tokens), float, len(tokens))
+                base = float(np.log10((c + 1) / (total + distinct + 1)).sum())
+                found.append((doc_id, held, len(tokens), int((c > 0).sum()), total, base))
         codes.close_lot()
-        frame = pd.DataFrame(found, columns=[c.split()[0] for c in SCORED.split(", ")][:-1])
-        frame["score"] = codes.sums
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        columns = [*zip(*found, strict=True), codes.sums] if found else [()] * len(kinds)
+        names = [c.split()[0] for c in SCORED.split(", ")]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return score
 
@@ -309,5 +316,5 @@ def scores(documents: DataFrame, params: PpmParams = PpmParams()) -> DataFrame:
     return (
         docs.groupBy("block")
         .cogroup(entries.groupBy("block"))
-        .applyInPandas(_scored(params, int(sums["total"]), int(sums["kinds"])), SCORED)
+        .applyInArrow(_scored(params, int(sums["total"]), int(sums["kinds"])), SCORED)
     )
