@@ -129,12 +129,11 @@ def batch_corrections(
     jobs = shown.groupBy(F.col("delivery_job_oid").alias("_job")).agg(
         F.max("predicted_depart_date").alias("job_depart"), F.max("delivery_batch_index").alias("max_index")
     )
-    late = jobs.filter((F.col("max_index") > 1) & F.col("job_depart").isNotNull())
     if not jobless_together:
-        late = late.filter("_job is not null")
+        jobs = jobs.filter("_job is not null")
     return (
-        with_job(shown, late)
-        .filter(F.col("predicted_depart_date") != F.col("job_depart"))
+        with_job(shown, jobs)
+        .filter((F.col("max_index") > 1) & (F.col("predicted_depart_date") != F.col("job_depart")))
         .select(
             F.col("_id_oid").alias("order_id"),
             F.col("job_depart").alias("predicted_depart_date"),

@@ -58,15 +58,22 @@ def job_dates(orders: DataFrame) -> DataFrame:
     )
 
 
-def with_job(rows: DataFrame, jobs: DataFrame, column: str = "delivery_job_oid") -> DataFrame:
-    """Rows with what ``jobs`` (``_job`` and more) says of their job; rows without a job meet the row without one.
+def with_job(rows: DataFrame, jobs: DataFrame, column: str = "delivery_job_oid", order_id: str = "_id_oid") -> DataFrame:
+    """Rows with what ``jobs`` (``_job`` and more) says of their job, if it says anything.
 
-    That row is one at most, as ``jobs`` is a grouping by job, so it is
-    broadcast to its rows; they are never one key of a shuffled join.
+    ``jobs`` is a grouping by job, so at most one of its rows has no job. Orders
+    without a job take it from a broadcast of one row; in the shuffled join
+    they are keys of their own, spread by their id, and find no partner.
     """
-    alone = F.broadcast(jobs.filter("_job is null").limit(1))
-    named = rows.filter(F.col(column).isNotNull()).join(jobs, F.col(column) == F.col("_job"))
-    return named.unionByName(rows.filter(F.col(column).isNull()).join(alone, F.col(column).eqNullSafe(F.col("_job"))))
+    told = [c for c in jobs.columns if c != "_job"]
+    said = F.struct(*told)
+    named = jobs.select(F.struct("_job", F.lit(None).cast("long").alias("_salt")).alias("_key"), said.alias("_said"))
+    alone = jobs.agg(F.max_by(said, F.when(F.col("_job").isNull(), 1)).alias("_alone")).select("_alone", F.lit(True).alias("_jobless"))
+    jobless = F.col(column).isNull()
+    salt = F.when(jobless, F.xxhash64(order_id))
+    keyed = rows.withColumns({"_key": F.struct(F.col(column).alias("_job"), salt.alias("_salt")), "_jobless": jobless})
+    met = keyed.join(named, "_key", "left").join(F.broadcast(alone), "_jobless", "left").withColumn("_told", F.coalesce("_said", "_alone"))
+    return met.filter("_told is not null").select(*rows.columns, *[F.col(f"_told.{c}").alias(c) for c in told])
 
 
 def market_orders(
@@ -93,7 +100,7 @@ def market_orders(
     )
     finished = filter_by_ids(finished, "courier_courier_oid", courier_ids)
     jobs = job_dates(finished if jobless_together else finished.filter(F.col("delivery_job_oid").isNotNull()))
-    in_window = with_job(finished, jobs.filter(_between("max_deliver_date", start, end)))
+    in_window = with_job(finished, jobs).filter(_between("max_deliver_date", start, end))
     if not jobless_together:
         own = finished.filter(F.col("delivery_job_oid").isNull() & _between("deliver_date", start, end)).withColumns(
             {"job_onway": F.col("onway_date"), "job_handover": F.col("handover_date"), "max_deliver_date": F.col("deliver_date")}

@@ -55,8 +55,13 @@ def test_order_filters_reach_the_scan(spark, fx, tmp_path):
     path = str(tmp_path / "orders")
     fx.raw_orders.write.parquet(path)
     stored = spark.read.parquet(path)
-    read = scans(so.market_orders(stored, fx.zones, START, END), "status")
-    assert len(read) == 2
+    found = so.market_orders(stored, fx.zones, START, END)
+    read = scans(found, "status")
+    assert len(read) == 3
+    # the rows and the jobs read the orders; what is said of orders without a job reads the jobs again
+    found.collect()
+    final = first_plan(found).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[_id_oid|FileScan parquet [^\n]*delivery_job_oid", final)) == 2
     assert all("In(status, [" in scan and "GreaterThanOrEqual(deliver_date" in scan for scan in read)
     assert all("cancel_date" not in scan for scan in read)
 
