@@ -3,10 +3,11 @@
 On unit vectors a cosine of at least c is a distance of at most
 tau = sqrt(2 - 2c). Vectors are classes of equal components first, so copies
 cost one row. The top level of the cover is made in Spark: every class goes to
-its nearest pivot, and two nodes whose pivots lie further apart than the sum of
-their covering radii and tau are never compared. Nodes are cut into blocks, and
-each pair of blocks is one cell. In a cell each block gets a cover tree of
-nested levels with halving radii; node pairs are followed down both trees and
+its nearest pivot among those of its dimension, and two nodes whose pivots lie
+further apart than the sum of their covering radii and tau are never compared.
+Nodes are cut into blocks. Each block gets its cover tree of nested levels with
+halving radii once, as a row of a stored table, and each pair of blocks that
+may meet is one cell. In a cell node pairs are followed down both trees and
 pruned by the same bound with their own covering radii, and what reaches the
 leaves is compared by cosine in double precision.
 
@@ -31,16 +32,23 @@ from courierlens.llm.common import connected, written
 
 @dataclass(frozen=True)
 class CoverParams:
-    """``most_pivots`` bounds what is sampled for the top level; every vector is compared whatever it is."""
+    """``most_pivots`` bounds what is sampled for the top level; every vector is compared whatever it is.
+
+    A block has at most about ``block`` vectors and ``block_bytes`` of components;
+    a node of at most ``leaf_size`` vectors, or of a small radius, is a leaf.
+    """
 
     cosine: float = 0.9
     block: int = 3072
+    block_bytes: int = 8 << 20
     most_pivots: int = 1024
     leaf_radius: float = 0.25
+    leaf_size: int = 8
 
     @property
     def tau(self) -> float:
-        return float(np.sqrt(2 - 2 * self.cosine)) + 1e-9
+        # the margin is far above the rounding of distances, and only opens more pairs
+        return float(np.sqrt(2 - 2 * self.cosine)) + 1e-6
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -54,69 +62,119 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Node:
-    """A point whose ball of ``radius`` holds all ``members``; the children's points are among the members."""
-
-    point: int
-    radius: float
-    members: np.ndarray
-    children: list[Node]
-    _points: np.ndarray | None = None
-    _radii: np.ndarray | None = None
-
-    def fronts(self) -> tuple[list[Node], np.ndarray, np.ndarray]:
-        """The children, or the node itself at a leaf, with their points and radii."""
-        below = self.children or [self]
-        if self._points is None:
-            self._points = np.array([n.point for n in below])
-            self._radii = np.array([n.radius for n in below])
-        return below, self._points, self._radii
-
-
-def cover_tree(x: np.ndarray, leaf_radius: float) -> Node:
-    """Nested cover of the rows of x: children lie within half the radius of their level, down to ``leaf_radius``."""
-
-    def grow(point: int, members: np.ndarray, reach: float) -> Node:
-        far = distances(x[members], x[point : point + 1])[:, 0]
-        node = Node(point, float(far.max()) + 1e-9, members, [])
-        if len(members) == 1 or node.radius <= leaf_radius:
-            return node
-        half = reach / 2
-        while half > node.radius:
-            half /= 2
-        left, order = members, [point]
-        while len(left):
-            # the point itself stays a centre of the next level, then any point not covered yet
-            centre = order.pop() if order else int(left[0])
-            near = distances(x[left], x[centre : centre + 1])[:, 0] <= half
-            near |= left == centre
-            node.children.append(grow(centre, left[near], half) if near.sum() > 1 else Node(centre, 1e-9, left[near], []))
-            left = left[~near]
-        return node
-
-    return grow(0, np.arange(len(x)), 2.0)
+class Tree:
+    """A cover tree over rows that are ordered so that every node holds a run of them.
 
+    Node n is a ball of ``radius[n]`` around the row ``point[n]``; it holds the
+    rows ``low[n]`` to ``high[n]`` and has the children ``child[n]`` to
+    ``child[n] + children[n]``, whose points are among its rows. Node 0 is the root.
+    """
 
-def linked_pairs(x: np.ndarray, y: np.ndarray, params: CoverParams) -> np.ndarray:
-    """Boolean matrix of the rows of x and y whose cosine reaches the threshold."""
+    point: np.ndarray
+    radius: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    child: np.ndarray
+    children: np.ndarray
+
+    def below(self, node: int) -> np.ndarray:
+        """The children of a node, or a leaf itself."""
+        n = self.children[node]
+        return np.arange(self.child[node], self.child[node] + n) if n else np.array([node])
+
+
+def centres(x: np.ndarray, members: np.ndarray, first: int, reach: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Greedy cover of ``members``: centres further than ``reach`` apart, each with what it is the first to cover."""
+    at = int(np.flatnonzero(members == first)[0])
+    turn = np.concatenate([[at], np.delete(np.arange(len(members)), at)])
+    rows, left = x[members], np.ones(len(members), bool)
+    for start in range(0, len(turn), 256):
+        some = turn[start : start + 256]
+        some = some[left[some]]
+        near = rows[some] @ rows.T >= 1 - reach * reach / 2
+        for centre, covered in zip(some, near, strict=True):
+            if left[centre]:
+                covered &= left
+                covered[centre] = True
+                left &= ~covered
+                yield int(members[centre]), members[covered]
+
+
+def cover_tree(x: np.ndarray, params: CoverParams) -> tuple[Tree, np.ndarray]:
+    """Nested cover of the rows of x, and their order: children lie within half the radius of their level."""
+    order = np.arange(len(x))
+    nodes = [(0, 2.0, 0, len(x))]
+    radii, child, children = [], [], []
+    for point, reach, low, high in nodes:  # grows while it is read
+        members = order[low:high].copy()
+        far = distances(x[members], x[point : point + 1]).max() if high - low > 1 else 0.0
+        radius = float(far) + 1e-6
+        radii.append(radius)
+        child.append(len(nodes))
+        if high - low > params.leaf_size and radius > params.leaf_radius:
+            half = reach / 2
+            while half > radius:
+                half /= 2
+            for centre, covered in centres(x, members, point, half):
+                order[low : low + len(covered)] = covered
+                nodes.append((centre, half, low, low + len(covered)))
+                low += len(covered)
+        children.append(len(nodes) - child[-1])
+    place = np.empty(len(x), int)
+    place[order] = np.arange(len(x))
+    points, _, lows, highs = (np.array(c) for c in zip(*nodes, strict=True))
+    return Tree(place[points], np.array(radii), lows, highs, np.array(child), np.array(children)), order
+
+
+def compare_leaves(
+    links: np.ndarray, x: np.ndarray, mine: Tree, u: np.ndarray, y: np.ndarray, theirs: Tree, v: np.ndarray, cosine: float
+) -> None:
+    """Fill in the links of the leaf pairs (u, v); all partners of a leaf are compared in one product."""
+    order = np.argsort(u, kind="stable")
+    named, starts = np.unique(u[order], return_index=True)
+    for node, partners in zip(named, np.split(v[order], starts[1:]), strict=False):
+        low, rows = theirs.low[partners], theirs.high[partners] - theirs.low[partners]
+        columns = np.repeat(low - np.cumsum(rows) + rows, rows) + np.arange(rows.sum())
+        own = slice(mine.low[node], mine.high[node])
+        links[own, columns] = x[own] @ y[columns].T >= cosine
+
+
+def traverse(x: np.ndarray, mine: Tree, y: np.ndarray, theirs: Tree, params: CoverParams) -> np.ndarray:
+    """Boolean matrix of the rows of x and y, in the order of their trees, whose cosine reaches the threshold."""
     links = np.zeros((len(x), len(y)), bool)
-    stack = [(cover_tree(x, params.leaf_radius), cover_tree(y, params.leaf_radius))]
+    alone, alone_there = mine.high - mine.low == 1, theirs.high - theirs.low == 1
+    stack = [(0, 0)]
     while stack:
         a, b = stack.pop()
-        if not a.children and not b.children:
-            links[np.ix_(a.members, b.members)] = x[a.members] @ y[b.members].T >= params.cosine
+        if not mine.children[a] and not theirs.children[b]:
+            rows, columns = slice(mine.low[a], mine.high[a]), slice(theirs.low[b], theirs.high[b])
+            links[rows, columns] = x[rows] @ y[columns].T >= params.cosine
             continue
-        mine, p, r = a.fronts()
-        theirs, q, s = b.fronts()
-        for start in range(0, len(p), 1024):
-            some = slice(start, start + 1024)
-            open_pairs = distances(x[p[some]], y[q]) <= r[some, None] + s[None, :] + params.tau
-            for i, j in zip(*np.nonzero(open_pairs), strict=True):
-                u, v = mine[start + i], theirs[j]
-                if len(u.members) == 1 and len(v.members) == 1:
-                    links[u.point, v.point] = x[u.point] @ y[v.point] >= params.cosine
-                else:
-                    stack.append((u, v))
+        front = theirs.below(b)
+        there = y[theirs.point[front]]
+        every = mine.below(a)
+        for start in range(0, len(every), 512):
+            here = every[start : start + 512]
+            cosines = x[mine.point[here]] @ there.T
+            bound = mine.radius[here][:, None] + theirs.radius[front][None, :] + params.tau
+            i, j = np.nonzero(2 - 2 * cosines <= bound * bound)
+            u, v = here[i], front[j]
+            single = alone[u] & alone_there[v]
+            links[mine.low[u[single]], theirs.low[v[single]]] = cosines[i[single], j[single]] >= params.cosine
+            leaves = (mine.children[u] == 0) & (theirs.children[v] == 0)
+            stack.extend(zip(u[~leaves].tolist(), v[~leaves].tolist(), strict=True))
+            wide = leaves & ~alone[u]
+            compare_leaves(links, x, mine, u[wide], y, theirs, v[wide], params.cosine)
+            wide = leaves & alone[u] & ~alone_there[v]
+            compare_leaves(links.T, y, theirs, v[wide], x, mine, u[wide], params.cosine)
+    return links
+
+
+def linked_pairs(x: np.ndarray, y: np.ndarray, params: CoverParams) -> np.ndarray:
+    """Boolean matrix of the rows of x and y whose cosine reaches the threshold."""
+    (mine, here), (theirs, there) = cover_tree(x, params), cover_tree(y, params)
+    links = np.empty((len(x), len(y)), bool)
+    links[np.ix_(here, there)] = traverse(x[here], mine, y[there], theirs, params)
     return links
 
 
@@ -151,33 +209,92 @@ def _cleaned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": rows["vec_id"].astype("Int64"), "vector": found})
 
 
-def _to_pivots(pivots: np.ndarray):
+def _to_pivots(pivots: dict[int, np.ndarray]):
+    """Nearest pivot of a vector among those of its dimension and its distance; node -1 where there is none."""
+
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            if len(rows):
-                far = distances(unit(_matrix(rows["vector"])), pivots)
+            for size, some in rows.groupby("size"):
+                if size not in pivots:
+                    yield some.assign(node=-1, far=2.0)
+                    continue
+                far = distances(unit(_matrix(some["vector"])), pivots[size])
                 node = far.argmin(axis=1)
-                yield rows.assign(node=node.astype("int32"), far=far[np.arange(len(far)), node])
+                yield some.assign(node=node, far=far[np.arange(len(far)), node])
 
     return nearest
 
 
-def _compared(params: CoverParams):
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sides = [rows[rows["side"] == s] for s in (0, 1)]
-        same = not len(sides[1])
-        left = sides[0]
-        right = left if same else sides[1]
-        x, ids, times = unit(_matrix(left["vector"])), left["rep"].to_numpy(), left["times"].to_numpy()
-        y, others, others_times = (x, ids, times) if same else (
-            unit(_matrix(right["vector"])), right["rep"].to_numpy(), right["times"].to_numpy()
+def _meeting(pivots: dict[int, np.ndarray], tau: float):
+    """Pairs of nodes whose balls come as near as the threshold."""
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for size, some in rows.groupby("size"):
+                if size in pivots:
+                    p = pivots[size]
+                    cosines = np.einsum("ij,ij->i", p[some["node"]], p[some["other"]])
+                    apart = np.sqrt(np.maximum(0.0, 2 - 2 * cosines))
+                    some = some[(some["node"] == some["other"]) | (apart <= some["far"] + some["other_far"] + tau)]
+                yield some[["size", "node", "other", "other_blocks"]]
+
+    return met
+
+
+def _planted(params: CoverParams):
+    """One row per block: its vectors in the order of its cover tree, and the tree."""
+
+    def plant(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        vectors = _matrix(rows["vector"])
+        tree, order = cover_tree(unit(vectors), params)
+        vectors = vectors[order]
+        short = vectors.astype("<f4")
+        narrow = bool(np.isfinite(short).all() and (short.astype(float) == vectors).all())
+        parts = (tree.point, tree.low, tree.high, tree.child, tree.children)
+        return pd.DataFrame(
+            {
+                "size": [key[0]],
+                "node": [key[1]],
+                "part": [key[2]],
+                "vectors": [(short if narrow else vectors).tobytes()],
+                "narrow": [narrow],
+                "reps": [rows["rep"].to_numpy("<i8")[order].tobytes()],
+                "times": [rows["times"].to_numpy("<i8")[order].tobytes()],
+                "tree": [np.stack(parts).astype("<i4").tobytes()],
+                "radii": [tree.radius.astype("<f8").tobytes()],
+            }
         )
-        links = linked_pairs(x, y, params)
+
+    return plant
+
+
+PLANTED = (
+    "size int, node int, part int, vectors binary, narrow boolean, reps binary, times binary, tree binary, radii binary"
+)
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, Tree]:
+    """Unit vectors, representatives, copies and tree of a block."""
+    vectors = np.frombuffer(row.vectors, "<f4" if row.narrow else "<f8").reshape(-1, row.size).astype(float)
+    point, low, high, child, children = np.frombuffer(row.tree, "<i4").reshape(5, -1)
+    tree = Tree(point, np.frombuffer(row.radii, "<f8"), low, high, child, children)
+    return unit(vectors), np.frombuffer(row.reps, "<i8"), np.frombuffer(row.times, "<i8"), tree
+
+
+def _compared(params: CoverParams):
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        same = key[1] == key[2]
+        # size is also an attribute of frames, so rows are taken as tuples
+        blocks = [_unpacked(row) for row in rows.itertuples(index=False)]
+        x, ids, times, mine = blocks[0]
+        y, others, others_times, theirs = blocks[-1]
+        links = traverse(x, mine, y, theirs, params)
         if same:
             np.fill_diagonal(links, False)
-        counts = [(int(i), None, int(n)) for i, n in zip(ids, links @ others_times, strict=True) if n]
+        sides = [(ids, links @ others_times)]
         if not same:
-            counts += [(int(i), None, int(n)) for i, n in zip(others, links.T @ times, strict=True) if n]
+            sides.append((others, times @ links))
+        counts = [(int(i), None, int(n)) for named, found in sides for i, n in zip(named, found, strict=True) if n]
         edges = [(int(ids[i]), int(others[j]), 0) for i, j in spanning(links)]
         frame = pd.DataFrame(counts + edges, columns=["a", "b", "links"])
         frame["b"] = frame["b"].astype("Int64")
@@ -186,48 +303,52 @@ def _compared(params: CoverParams):
     return compare
 
 
-def class_links(classes: DataFrame, dimensions: int, params: CoverParams) -> DataFrame:
-    """(a, null, links) and forest edges (a, b, 0) between classes (rep, vector, times) of equal dimension."""
-    classes = classes.filter(F.octet_length("vector") == 8 * dimensions)
-    total = classes.count()
-    wanted = min(params.most_pivots, max(1, total // params.block))
-    # a bounded sample by hash; its size does not grow beyond most_pivots
-    sample = classes.select("vector", F.xxhash64("rep").alias("h")).orderBy("h", "vector").limit(wanted).collect()
-    pivots = unit(np.stack([np.frombuffer(r["vector"], "<f8") for r in sample]))
+def class_links(classes: DataFrame, params: CoverParams) -> DataFrame:
+    """(a, null, links) and forest edges (a, b, 0) between classes (rep, vector, times) of equal dimension.
+
+    The dimension is part of every key, so any number of them is one job; only
+    the sampled pivots pass through the driver.
+    """
+    sized = classes.select((F.octet_length("vector") / 8).cast("int").alias("size"), "rep", "vector", "times")
+    wanted = min(params.most_pivots, classes.count() // params.block)
+    # a sample by hash whose size is bounded by most_pivots; dimensions without a pivot are one node each
+    sample = sized.select("size", "vector", F.xxhash64("rep").alias("h")).orderBy("h", "vector").limit(wanted).collect()
+    sizes = {r["size"] for r in sample}
+    pivots = {n: unit(np.stack([np.frombuffer(r["vector"], "<f8") for r in sample if r["size"] == n])) for n in sizes}
     placed = written(
-        classes.select("rep", "vector", "times").mapInPandas(
-            _to_pivots(pivots), "rep bigint, vector binary, times bigint, node int, far double"
-        ),
+        sized.mapInPandas(_to_pivots(pivots), "size int, rep bigint, vector binary, times bigint, node int, far double"),
         "cover-placed",
     )
-    nodes = placed.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")).collect()
-    order = {r["node"]: (r["radius"], -(-r["n"] // params.block)) for r in nodes}
-    apart = distances(pivots, pivots)
-    met = [
-        (p, q, order[p][1], order[q][1])
-        for p in order
-        for q in order
-        if p == q or apart[p, q] <= order[p][0] + order[q][0] + params.tau
-    ]
-    session = classes.sparkSession
-    pairs = session.createDataFrame(met, "node int, other int, blocks int, other_blocks int")
+    fitting = F.greatest(F.lit(64), F.least(F.lit(params.block), F.lit(params.block_bytes) / (F.col("size") * 8)))
+    nodes = (
+        placed.groupBy("size", "node")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"))
+        .withColumn("blocks", F.ceil(F.col("n") / F.least(fitting, F.lit(params.block))).cast("int"))
+    )
+    dealt = placed.join(nodes.select("size", "node", "blocks"), ["size", "node"])
+    blocks = written(
+        dealt.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .select("size", "node", "part", "rep", "vector", "times")
+        .groupBy("size", "node", "part")
+        .applyInPandas(_planted(params), PLANTED),
+        "cover-blocks",
+    )
+    theirs = nodes.select(
+        "size", F.col("node").alias("other"), F.col("far").alias("other_far"), F.col("blocks").alias("other_blocks")
+    )
+    pairs = (
+        nodes.select("size", "node", "far")
+        .join(theirs, "size")
+        .mapInPandas(_meeting(pivots, params.tau), "size int, node int, other int, other_blocks int")
+    )
     cells = (
-        placed.drop("far")
-        .join(pairs, "node")
-        .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
-        .withColumn("here", F.struct(F.col("node").alias("n"), F.col("mine").alias("b")))
-        .withColumn("there", F.struct(F.col("other").alias("n"), F.col("theirs").alias("b")))
-        .select(
-            F.least("here", "there").alias("low"),
-            F.greatest("here", "there").alias("high"),
-            F.when(F.col("here") <= F.col("there"), 0).otherwise(1).alias("side"),
-            "rep",
-            "vector",
-            "times",
-        )
+        blocks.join(pairs, ["size", "node"])  # every pair is there both ways round
+        .withColumn("there", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
+        .withColumn("mine", F.struct("node", "part"))
+        .withColumn("theirs", F.struct(F.col("other").alias("node"), F.col("there").alias("part")))
+        .select(F.least("mine", "theirs").alias("one"), F.greatest("mine", "theirs").alias("two"), *blocks.columns)
     )
-    return cells.groupBy("low", "high").applyInPandas(_compared(params), "a bigint, b bigint, links bigint")
+    return cells.groupBy("size", "one", "two").applyInPandas(_compared(params), "a bigint, b bigint, links bigint")
 
 
 def near_vectors(embeddings: DataFrame, params: CoverParams = CoverParams()) -> DataFrame:
@@ -249,19 +370,9 @@ def near_vectors(embeddings: DataFrame, params: CoverParams = CoverParams()) ->
     classes = written(
         good.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times")), "cover-classes"
     )
-    # a vector's dimension decides what it can be compared with; there are few
-    kinds = [r[0] // 8 for r in classes.select(F.octet_length("vector")).distinct().limit(1000).collect()]
-    found = None
-    for dimensions in sorted(kinds):
-        links = class_links(classes, dimensions, params)
-        found = links if found is None else found.union(links)
     base = cleaned.join(classes.select(F.col("vector").alias("v"), "rep", "times"), F.col("vector") == F.col("v"), "left")
     base = base.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("rep")).alias("rep"), "times")
-    if found is None:
-        return base.select(
-            "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
-    found = written(found, "cover-links")
+    found = written(class_links(classes, params), "cover-links")
     counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     edges = found.filter("b is not null").select("a", "b").union(
         base.filter("rep <> vec_id").select(F.col("rep").alias("a"), F.col("vec_id").alias("b"))

@@ -166,6 +166,26 @@ def test_tree_traversal_finds_all_pairs_of_clustered_points():
     assert (cover.linked_pairs(x, y, cover.CoverParams()) == (x @ y.T >= 0.9)).all()
 
 
+def test_vectors_of_any_number_of_dimensions_are_linked(spark):
+    """Twin vectors of 1,010 different lengths: each finds its twin, and nothing of another length."""
+    frame = spark.range(2020).selectExpr(
+        "id as vec_id",
+        "transform(sequence(1, id % 1010 + 1), i -> cast(1 + i % 5 + if(id >= 1010, 0.01, 0) as double)) as embedding",
+    )
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cover.near_vectors(frame).collect()}
+    assert got == {i: (1, i % 1010) for i in range(2020)}
+
+
+def test_trees_with_small_wide_leaves_find_all_pairs():
+    """Leaves that hold several far points are compared row by row, from either side."""
+    draw = np.random.default_rng(8)
+    x, y = draw.normal(size=(400, 24)), draw.normal(size=(300, 24))
+    y[:100] = x[:100] + draw.normal(size=(100, 24)) * 0.06
+    x, y = cover.unit(x), cover.unit(y)
+    for leaf_size in (1, 3, 8, 1000):
+        assert (cover.linked_pairs(x, y, cover.CoverParams(leaf_size=leaf_size)) == (x @ y.T >= 0.9)).all()
+
+
 def test_search_equals_sql(spark, tmp_path):
     draw = random.Random(6)
     vocabulary = [f"w{i}" for i in range(60)] + ["The", "the", "ÉA"]
