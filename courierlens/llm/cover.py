@@ -156,8 +156,11 @@ def traverse(x: np.ndarray, mine: Tree, y: np.ndarray, theirs: Tree, params: Cov
         for start in range(0, len(every), 512):
             here = every[start : start + 512]
             cosines = x[mine.point[here]] @ there.T
-            bound = mine.radius[here][:, None] + theirs.radius[front][None, :] + params.tau
-            i, j = np.nonzero(2 - 2 * cosines <= bound * bound)
+            # the least cosine at which two balls may hold a pair, worked out in place
+            least = np.add.outer(mine.radius[here] + params.tau, theirs.radius[front])
+            np.multiply(least, least, out=least)
+            np.subtract(1, np.multiply(least, 0.5, out=least), out=least)
+            i, j = np.divmod(np.flatnonzero(cosines >= least), len(front))
             u, v = here[i], front[j]
             single = alone[u] & alone_there[v]
             links[mine.low[u[single]], theirs.low[v[single]]] = cosines[i[single], j[single]] >= params.cosine
@@ -194,6 +197,14 @@ def spanning(links: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def linked_copies(links: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How many vectors each row is linked with, copies counted."""
+    found = np.zeros(len(links), "int64")
+    for row in np.flatnonzero(links.any(axis=1)):
+        found[row] = times[links[row]].sum()
+    return found
+
+
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack([np.frombuffer(v, "<f8") for v in values]) if len(values) else np.zeros((0, 0))
 
@@ -291,9 +302,9 @@ def _compared(params: CoverParams):
         links = traverse(x, mine, y, theirs, params)
         if same:
             np.fill_diagonal(links, False)
-        sides = [(ids, links @ others_times)]
+        sides = [(ids, linked_copies(links, others_times))]
         if not same:
-            sides.append((others, times @ links))
+            sides.append((others, linked_copies(links.T, times)))
         counts = [(int(i), None, int(n)) for named, found in sides for i, n in zip(named, found, strict=True) if n]
         edges = [(int(ids[i]), int(others[j]), 0) for i, j in spanning(links)]
         frame = pd.DataFrame(counts + edges, columns=["a", "b", "links"])
