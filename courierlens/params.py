@@ -49,6 +49,7 @@ class EventParams:
     max_client_metres: float = MAX_CLIENT_METRES
     client_hold_seconds: int = CLIENT_HOLD_SECONDS
     slice_seconds: int = 600
+    slice_rows: int | None = 200_000
     parallel_jobs: int = 4
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlens.functions.rules import real_id
+from courierlens.operators.density import even_slices
 from courierlens.operators.slices import SLICE, by_slice, forward_fill, number_rows, whole, with_slice
 from courierlens.operators.trace import filter_by_ids
 from courierlens.params import ARTISAN, FOOD, MARKET, EventParams
@@ -47,7 +48,8 @@ def attributed_points(points: DataFrame, id_columns: Sequence[str], p: EventPara
         "lon",
         *[real_id(F.col(c)).alias(f"raw_{c}") for c in id_columns],
     )
-    sliced = with_slice(raw, "time", p.slice_seconds).withColumn("_courier", whole("courier_oid"))
+    keyed = raw.withColumn("_courier", whole("courier_oid"))
+    sliced = even_slices(keyed, ["_courier"], TRACE_ORDER, p.slice_seconds, p.slice_rows)
     fills = {f"raw_{c}": f"{c}_filled" for c in id_columns}
     return forward_fill(sliced, ["_courier"], TRACE_ORDER, fills).drop(SLICE, "_courier")
 
@@ -141,10 +143,11 @@ def traces_of(points: DataFrame, orders: DataFrame, p: EventParams = EventParams
     go to where the join is: an order is repeated for every slice its route
     has points in, so a route with a third of all points is joined in as many
     tasks as it has slices, and the windows behind need no further shuffle.
-    Repeated orders count once, repeated points stay. The points are read
-    twice, once for their slices only; hand over a stored table.
+    Repeated orders count once, repeated points stay. Slices are cut where a
+    route is dense. The points are read three times, twice for their slices
+    only; hand over a stored table.
     """
-    sliced = with_slice(points, "time", p.slice_seconds)
+    sliced = even_slices(points, ["route_id"], TRACE_ORDER, p.slice_seconds, p.slice_rows)
     held = sliced.select("route_id", SLICE).distinct()
     once = orders.distinct()
     placed = held.join(once, held["route_id"] == once["_id_oid"])

@@ -11,8 +11,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courierlens.operators import ranks
+from courierlens.operators.density import even_slices
+from courierlens.operators.features import client_departure_features, reach_features
 from courierlens.operators.slices import forward_fill, heavy_keys, next_in_key, number_rows, slice_heavy_keys, whole, with_slice
 from courierlens.operators.trace import iqr_outliers
+from courierlens.params import EventParams
+from courierlens.sources.points import TRACE_ORDER, attributed_points, traces_of
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +62,76 @@ def test_only_heavy_keys_are_sliced(rows):
     assert sorted(map(tuple, ours)) == sorted(map(tuple, plain))
 
 
+@pytest.fixture(scope="module")
+def one_second(spark):
+    """20,000 points of one route within a second, 3,000 of them in one moment, 1,000 without a time, and a quiet route."""
+    moment = (
+        F.when(F.col("id") < 1000, None).when(F.col("id") < 4000, 500_000).otherwise(F.xxhash64("id").bitwiseAND(2**40 - 1) % 1_000_000)
+    )
+    dense = spark.range(20000).select(
+        F.lit("hot").alias("route_id"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + moment).alias("time"),
+        (F.lit(41.0) + (F.col("id") * 7 % 1009) * 1e-6).alias("lat"),
+        (F.lit(29.0) + (F.col("id") * 11 % 997) * 1e-6).alias("lon"),
+    )
+    quiet = spark.range(50).select(
+        F.lit("quiet").alias("route_id"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 30_000_000).alias("time"),
+        (F.lit(41.0) + F.col("id") * 1e-5).alias("lat"),
+        F.lit(29.0).alias("lon"),
+    )
+    return dense.unionByName(quiet).cache()
+
+
+def test_dense_slices_are_cut(one_second):
+    sliced = even_slices(one_second, ["route_id"], TRACE_ORDER, 600, 500)
+    sizes = sliced.groupBy("route_id", "slice").agg(F.count("*").alias("n"), F.min("time").alias("a"), F.max("time").alias("b"))
+    hot = sizes.filter("route_id = 'hot'").orderBy("slice").collect()
+    assert len(hot) == 40 and {r["n"] for r in hot} == {500}
+    assert all(r["a"] is None for r in hot[-2:]) and all(r["a"] is not None for r in hot[:-2])
+    assert all(one["b"] <= two["a"] for one, two in zip(hot[:-2], hot[1:-2], strict=False))
+    assert [r["n"] for r in sizes.filter("route_id = 'quiet'").orderBy("slice").collect()] == [20, 20, 10]
+    # as many tasks as slices have a part of the route
+    spread = sliced.repartition(64, "route_id", "slice").withColumn("task", F.spark_partition_id())
+    assert spread.filter("route_id = 'hot'").select("task").distinct().count() > 16
+    assert sorted(map(str, sliced.drop("slice").collect())) == sorted(map(str, one_second.collect()))
+
+
+def test_features_of_dense_routes_equal_those_of_whole_slices(spark, one_second):
+    orders = spark.createDataFrame(
+        [(r, "UTC", "r", "c", 29.0, 41.0) for r in ("hot", "quiet")],
+        "_id_oid string, time_zone string, delivery_route_oid string, courier_courier_oid string,"
+        "delivery_address_location__coordinates_lon double, delivery_address_location__coordinates_lat double",
+    ).withColumn("reach_date", F.lit(datetime(2024, 1, 1)))
+    found = []
+    for most in (500, None):
+        p = EventParams(slice_rows=most)
+        trace = traces_of(one_second, orders, p)
+        reached = reach_features(trace, "client", p, include_all=True)
+        left = client_departure_features(trace, p).drop("slice", "prev_point", "prev_point_2")
+        found.append([sorted(map(str, reached.collect())), sorted(map(str, left.collect()))])
+    assert len(found[0][0]) == 20050
+    assert found[0] == found[1]
+
+
+def test_ids_are_filled_over_the_parts_of_a_dense_slice(spark, one_second):
+    """One courier's pings of a second keep their last order, however many parts the second has."""
+    pings = one_second.filter("route_id = 'hot' and time is not null").select(
+        F.lit(None).cast("string").alias("courierid"),
+        F.lit(1.0).alias("acc"),
+        F.lit(900).alias("status"),
+        F.col("time").alias("createdat"),
+        "lat",
+        "lon",
+        F.when(F.floor(F.col("lat") * 1e6) % 701 == 0, F.concat(F.lit("o"), F.floor(F.col("lon") * 1e6))).alias("orderid"),
+    )
+    found = [
+        sorted(map(str, attributed_points(pings, ["orderid"], EventParams(slice_rows=most)).collect())) for most in (300, None)
+    ]
+    assert len(found[0]) == 19000 and found[0] == found[1]
+    assert any("orderid_filled='o" in row and "raw_orderid=None" in row for row in found[0])
+
+
 @pytest.mark.parametrize("count", [1, 5, 64])
 def test_ntile(spark, count):
     rng = random.Random(9)
