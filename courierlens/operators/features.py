@@ -24,6 +24,7 @@ PLACES = {
     "merchant": ("restaurantloc_lon", "restaurantloc_lat"),
     "warehouse": ("warehouse_location__coordinates_lon", "warehouse_location__coordinates_lat"),
 }
+# Columns of the reach features.
 REACH_COLUMNS = [
     "_id_oid",
     "delivery_route_oid",
