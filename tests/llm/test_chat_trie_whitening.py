@@ -94,6 +94,16 @@ def test_long_conversations_come_in_blocks(spark):
     assert sum(r["loss_start"] is not None for r in rows) == 60
 
 
+def test_lengths_do_not_depend_on_blocks(spark):
+    frame = spark.createDataFrame(TALKS, "conv_id long, turn long, role string, text string")
+    want = {}
+    for conv_id, turns in turns_in_order(TALKS).items():
+        want[conv_id] = sum(len(text) for text, _, _ in chat.expand(turns, "assistant"))
+    for p in (chat.ChatParams(), chat.ChatParams(block_turns=4), chat.ChatParams(block_turns=1), chat.ChatParams(block_chars=50)):
+        got = chat.read_back(chat.chat_examples(frame, p), p).collect()
+        assert {r["conv_id"]: r["formatted_chars"] for r in got} == want
+
+
 def test_escapes_are_reversible():
     draw = random.Random(1)
     for _ in range(3000):
