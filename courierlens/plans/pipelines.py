@@ -29,11 +29,12 @@ from courierlens.operators.features import (
     with_next_route,
 )
 from courierlens.operators.reducer import keep_possible
+from courierlens.operators.slices import SLICE
 from courierlens.operators.trace import with_courier_domain
 from courierlens.params import ARTISAN, FOOD, MARKET, MARKET_DOMAINS, MERCHANT_DOMAINS, WATER, EventParams
 from courierlens.session import stage
 from courierlens.sources.orders import market_orders, merchant_orders, water_orders
-from courierlens.sources.points import id_column_of, points_of, traces_of, window_points
+from courierlens.sources.points import id_column_of, points_of, sliced_points, traces_of, window_points
 
 REACH, REACH_TO_MERCHANT = "reach", "reach_to_merchant"
 DEPART, DEPART_FROM_MERCHANT, DEPART_FROM_COURIER_WAREHOUSE = (
@@ -107,7 +108,8 @@ def depart(
     # a point counts if nothing of it is missing; only that is shuffled of its further columns
     known = reduce(Column.__and__, [F.col(c).isNotNull() for c in points.columns])
     known &= reduce(Column.__and__, [~F.isnan(c) for c, kind in points.dtypes if kind in ("double", "float")])
-    slim = points.select("route_id", "time", "lat", "lon", F.when(known, True).alias(COMPLETE))
+    kept = ["route_id", "time", "lat", "lon", *([SLICE] if SLICE in points.columns else [])]
+    slim = points.select(*kept, F.when(known, True).alias(COMPLETE))
     trace = _trace(slim, whole, ["time_zone", *PLACES[source], *(["onway_date"] if use_onway else [])], p)
     found = first_depart(depart_features(trace, source, p), p, use_onway)
     if domain_type in MARKET_DOMAINS:
@@ -128,7 +130,9 @@ def _client_departure(orders: DataFrame, points: DataFrame, domain_type: int, p:
     if domain_type in MARKET_DOMAINS:
         attributes.append("delivery_job_oid")
     if domain_type in MARKET_DOMAINS:
-        points = with_next_route(points, orders.select("_id_oid", "delivery_job_oid"), p)
+        # written, as a trace reads its points several times; with the tails its slices are others
+        slim = points.select("route_id", "time", "lat", "lon")
+        points = stage(with_next_route(slim, orders.select("_id_oid", "delivery_job_oid"), p), "lengthened")
     trace = _trace(points, orders, attributes, p)
     return first_client_departure(client_departure_features(trace, p), p)
 
@@ -250,7 +254,8 @@ def lines_events(
 
     Each event is a job of its own whose small result is written, so plans
     stay small, and a delivery is put together from the two written events it
-    needs, which are made if nobody asked for them.
+    needs, which are made if nobody asked for them. The points of a line are
+    cut into slices once for all its events.
     """
     asked = list(events)
     wanted = {domain: events_for(asked, domain) for domain in lines}
@@ -259,9 +264,11 @@ def lines_events(
         needed = [*names, *([REACH, DEPART_FROM_CLIENT] if DELIVER in names else [])]
         first += [(domain, event) for event in dict.fromkeys(needed) if event != DELIVER]
 
+    used = list(dict.fromkeys(domain for domain, _ in first))
+    cut = dict(zip(used, at_once([partial(sliced_points, lines[d][1], p) for d in used], p), strict=True))
+
     def predict(domain: int, event: str) -> DataFrame:
-        orders, points = lines[domain]
-        return stage(event_predictions(event, orders, points, domain, courier_domains, p), f"{event}-{domain}")
+        return stage(event_predictions(event, lines[domain][0], cut[domain], domain, courier_domains, p), f"{event}-{domain}")
 
     def halfway(domain: int) -> DataFrame:
         return stage(delivery_midpoint(one_per_order(made[domain, REACH]), made[domain, DEPART_FROM_CLIENT]), f"{DELIVER}-{domain}")

@@ -136,6 +136,11 @@ def spread_trace(trace: DataFrame, p: EventParams = EventParams()) -> DataFrame:
     return trace if SLICE in trace.columns else by_slice(with_slice(trace, "time", p.slice_seconds), ["route_id"])
 
 
+def sliced_points(points: DataFrame, p: EventParams = EventParams()) -> DataFrame:
+    """Points with the slices ``traces_of`` cuts; for several events of the same points they are cut once."""
+    return even_slices(points, ["route_id"], TRACE_ORDER, p.slice_seconds, p.slice_rows)
+
+
 def traces_of(points: DataFrame, orders: DataFrame, p: EventParams = EventParams()) -> DataFrame:
     """Points with the attributes of their order, as ``spread_trace`` leaves them.
 
@@ -145,9 +150,10 @@ def traces_of(points: DataFrame, orders: DataFrame, p: EventParams = EventParams
     tasks as it has slices, and the windows behind need no further shuffle.
     Repeated orders count once, repeated points stay. Slices are cut where a
     route is dense. The points are read three times, twice for their slices
-    only; hand over a stored table.
+    only; hand over a stored table. Points that ``sliced_points`` has cut
+    already are read twice.
     """
-    sliced = even_slices(points, ["route_id"], TRACE_ORDER, p.slice_seconds, p.slice_rows)
+    sliced = points if SLICE in points.columns else sliced_points(points, p)
     held = sliced.select("route_id", SLICE).distinct()
     once = orders.distinct()
     placed = held.join(once, held["route_id"] == once["_id_oid"])

@@ -89,6 +89,27 @@ def test_trace_is_shuffled_once_by_route(spark, fx):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
 
 
+def test_points_of_a_line_are_cut_and_lengthened_once(spark, monkeypatch):
+    """Slices are counted once per line, and the points with the tails of the next routes are written before they are read."""
+    from courierlens.sources import points as sp
+    from traces import trace_frame
+
+    trace = {name: [(i * 1_000_000, 41.0, 29.0, name) for i in range(at, at + 5)] for at, name in ((0, "a"), (9, "b"))}
+    points = pl.stage(trace_frame(spark, trace).select("route_id", "time", "lat", "lon"), "plan-line")
+    at = "timestamp '1970-01-01 00:00:02'"
+    places = ", ".join(f"29.0 as {lon}, 41.0 as {lat}" for lon, lat in (pl.PLACES["client"], pl.PLACES["warehouse"]))
+    orders = spark.sql(
+        f"select explode(array('a', 'b')) as _id_oid, 'j' as delivery_job_oid, 1 as delivery_batch_index, 'Europe/London' as time_zone, "
+        f"{at} as reach_date, {at} as deliver_date, {at} as onway_date, {places}"
+    )
+    cut, plain = [], sp.even_slices
+    monkeypatch.setattr(sp, "even_slices", lambda df, *rest: cut.append(df) or plain(df, *rest))
+    made = pl.line_events(["reach", "depart", "depart_from_client"], orders, points, 1)
+    assert [sorted(r["_id_oid"] for r in made[e].collect()) for e in ("reach", "depart_from_client")] == [["a", "b"]] * 2
+    assert len(cut) == 2  # those of the line, and those with the tails
+    assert "next_route_id" not in first_plan(pl.depart_from_client(orders, points, 1))
+
+
 def test_a_hot_route_is_joined_in_many_tasks(spark):
     """Orders go to the slices of their route, so no task joins more of a route than one slice."""
     from traces import trace_frame
