@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -202,6 +203,44 @@ def test_search_equals_sql(spark, tmp_path):
     assert wand.search_own(frame.limit(0)).collect() == []
 
 
+def test_words_are_counted_in_any_slice():
+    texts = [None, "", " \t", "A\x0b\x0cB\x1cc  É\x85x a ", "a", " x\nY\r\nx "] * 70
+    for first in (0, 1, 200, 333):
+        part = pa.array(texts, pa.string()).slice(first, 60)
+        terms, text, term, times, lengths = wand.counted(part)
+        got = [{} for _ in part]
+        for i, t, n in zip(text, term, times, strict=True):
+            got[i][terms[int(t)].as_py()] = int(n)
+        want = [collections.Counter(x.encode().lower().split() if x else []) for x in part.to_pylist()]
+        assert got == want and list(lengths) == [sum(w.values()) for w in want]
+
+
+def test_search_opens_few_blocks_and_is_exact():
+    """Long queries in two languages: blocks of the other language stay shut, and every score equals a plain one."""
+    draw = random.Random(9)
+    words = [[f"{language}{i}" for i in range(400)] for language in "ab"]
+    texts = [" ".join(draw.choices(words[i % 2], weights=[1 / (j + 1) for j in range(400)], k=draw.randint(40, 120))) for i in range(1024)]
+    texts[600:620] = texts[:20]
+    ids = np.array(draw.sample(range(-500, 5000), len(texts)))
+    held = terms, text, term, times, lengths = wand.counted(pa.array(texts))
+    df = np.bincount(term)
+    idf = np.log1p((len(ids) - df + 0.5) / (df + 0.5))
+    tf = np.zeros((len(ids), len(terms)))
+    tf[text, term] = times
+    plain = np.round((tf * idf) @ (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * lengths[:, None] / lengths.mean()))).T, 6)
+    frequent = terms.take(pa.array(np.flatnonzero(df > 100)))
+    shard = wand.Shard([(ids, held)], lengths.mean(), frequent, wand.SearchParams(block=32, groups=2))
+    got = {}
+    for query, doc, scores in shard.best(text, terms.take(pa.array(term)), times * idf[term], len(ids)):
+        for q, d, s in zip(query, doc, scores, strict=True):
+            got.setdefault(int(q), []).append((int(d), float(s)))
+    for q in range(len(ids)):
+        best = np.lexsort((ids, -plain[q]))[:10]
+        assert [d for d, _ in got[q]] == ids[best].tolist()
+        assert np.allclose([s for _, s in got[q]], plain[q][best], rtol=0, atol=2e-6)
+    assert 0 < shard.opened <= 0.55 * shard.blocks * len(ids)
+
+
 def labelled(spark):
     draw = random.Random(4)
     plain = [f"word{i}" for i in range(300)]
