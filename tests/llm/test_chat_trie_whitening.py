@@ -104,6 +104,27 @@ def test_lengths_do_not_depend_on_blocks(spark):
         assert {r["conv_id"]: r["formatted_chars"] for r in got} == want
 
 
+@pytest.mark.parametrize("p", [chat.ChatParams(), chat.ChatParams(block_turns=4), chat.ChatParams(block_chars=50)])
+def test_examples_of_long_conversations_hold_their_whole_prefix(spark, p):
+    rows = [
+        *TALKS,
+        *[(None, i // 2, "user" if i % 7 else "assistant", f"nobody {i} <\\|") for i in range(40)],
+        *[(8, None, "assistant", f"{i} " * 9) for i in range(80)],
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = collections.defaultdict(list)
+    for r in chat.chat_examples(frame.repartition(5), p).collect():
+        if r["context"] is not None:
+            example = r["context"] + r["formatted"], r["loss_start"], r["loss_end"]
+            got[r["conv_id"]].append(((r["slice"], r["block"], r["row"]), example))
+    talks = turns_in_order(rows)
+    assert {c: [example for _, example in sorted(v, key=lambda r: r[0])] for c, v in got.items()} == {
+        c: list(chat.expand(turns, "assistant")) for c, turns in talks.items()
+    }
+    back = chat.read_back(chat.chat_examples(frame, p), p).collect()
+    assert {r["conv_id"]: tuple(r)[1:5] for r in back} == plain_digests(rows)
+
+
 def test_escapes_are_reversible():
     draw = random.Random(1)
     for _ in range(3000):
