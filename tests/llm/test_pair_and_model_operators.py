@@ -177,6 +177,26 @@ def test_vectors_of_any_number_of_dimensions_are_linked(spark):
     assert got == {i: (1, i % 1010) for i in range(2020)}
 
 
+def test_cells_do_not_carry_vectors(spark):
+    """What is dealt to the tasks that compare blocks has no binary column, so it doesn't grow with cells times vectors."""
+    draw = np.random.default_rng(6)
+    x = cover.unit(np.repeat(draw.normal(size=(200, 12)), 3, axis=0) + draw.normal(size=(600, 12)) * 0.12)
+    rows = [(12, i, v.tobytes(), i % 2 + 1) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "size int, rep long, vector binary, times long")
+    found = cover.class_links(frame, cover.CoverParams(block=100))
+    leaves = found._jdf.queryExecution().optimizedPlan().collectLeaves()
+    columns = [leaves.apply(n).output().apply(c) for n in range(leaves.size()) for c in range(leaves.apply(n).output().size())]
+    assert columns and "binary" not in [c.dataType().simpleString() for c in columns]
+    links = x @ x.T >= 0.9
+    np.fill_diagonal(links, False)
+    rows, counts = found.collect(), collections.Counter()
+    for r in rows:
+        counts[r["a"]] += r["links"]
+    assert +counts == +collections.Counter({i: int((links[i] * (np.arange(600) % 2 + 1)).sum()) for i in range(600)})
+    pairs = [(i, j) for i, j in zip(*np.nonzero(links), strict=True)]
+    assert groups(range(600), [(r["a"], r["b"]) for r in rows if r["b"] is not None]) == groups(range(600), pairs)
+
+
 def test_trees_with_small_wide_leaves_find_all_pairs():
     """Leaves that hold several far points are compared row by row, from either side."""
     draw = np.random.default_rng(8)
